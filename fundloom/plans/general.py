@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fundloom.functions.numbers import plain_text, printed_number
 from fundloom.functions.printed_dates import day_date
 from fundloom.functions.text import match_key, squeeze, without_blanks
-from fundloom.operators import copies, eav, hierarchy
+from fundloom.operators import copies, eav, hierarchy, timestamps, zones
 from fundloom.sources.tables import table
 
 # ---------------------------------------------------------------- 1 hierarchies
@@ -150,3 +150,34 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     wide = eav.widen(printed_cells(spark, d, kinds), TABLE_ROW, kinds, CELL_READERS)
     texts = {m: F.col(m) if k == "text" else F.col(m).cast("string") if k == "date" else plain_text(F.col(m)) for m, k in kinds}
     return eav.cells_of(wide, TABLE_ROW, texts).select(*TABLE_ROW, F.col("attribute").alias("metric_category"), "cell_text")
+
+
+# ------------------------------------------------------- 5 printed dates and times
+
+
+def _zones(spark: SparkSession, d: str) -> DataFrame:
+    """Offsets of the zones of source_calendar (a fixed table) and of those that texts may name."""
+    named = [r[0] for r in table(spark, d, "source_calendar").select("local_zone").distinct().collect()]
+    return zones.offset_table(spark, [*named, *TEXT_ZONES])
+
+
+#: Zones that printed times may name in full.
+TEXT_ZONES = ["UTC", "America/New_York", "America/Chicago", "America/Denver", "America/Los_Angeles", "Europe/London", "Europe/Berlin",
+              "Europe/Paris", "Europe/Zurich", "Asia/Tokyo", "Asia/Singapore", "Asia/Hong_Kong", "Australia/Sydney"]
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    offsets = _zones(spark, d)
+    sources = F.broadcast(table(spark, d, "source_calendar"))
+    positions = table(spark, d, "fund_position").select("position_id", "date_raw", "source_document_id").filter("date_raw is not null")
+    found = timestamps.normalise(
+        positions.join(sources, "source_document_id", "left"), "date_raw", offsets, F.col("date_order"), F.col("local_zone")
+    ).filter("normal_form != date_raw").select(
+        F.lit("fund_position").alias("record_table"), F.col("position_id").alias("record_id"), F.lit("date_raw").alias("field_name"), "normal_form"
+    )
+    loans = table(spark, d, "investment_instrument").select("instrument_id", "maturity_date_raw").filter("maturity_date_raw is not null")
+    maturities = timestamps.normalise(loans, "maturity_date_raw", offsets).filter("normal_form != maturity_date_raw").select(
+        F.lit("investment_instrument").alias("record_table"), F.col("instrument_id").alias("record_id"),
+        F.lit("maturity_date_raw").alias("field_name"), "normal_form",
+    )
+    return found.unionByName(maturities).distinct()

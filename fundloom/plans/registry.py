@@ -13,6 +13,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": general.p1_found,
         "p1_hierarchies": general.p1_hierarchies,
+        "p5_found": general.p5_found,
         "p6_found": general.p6_found,
         "p7_found": general.p7_found,
         "p7_wide": general.p7_wide,
