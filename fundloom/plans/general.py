@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from fundloom.functions.numbers import plain_text, printed_number
 from fundloom.functions.printed_dates import day_date
 from fundloom.functions.text import match_key, squeeze, without_blanks
+from fundloom.functions.units import currency_code, scale_of, unit_code, unit_words
 from fundloom.operators import copies, eav, hierarchy, timestamps, zones
+from fundloom.operators import units as units_op
 from fundloom.sources.tables import table
 
 # ---------------------------------------------------------------- 1 hierarchies
@@ -181,3 +183,139 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
         F.lit("maturity_date_raw").alias("field_name"), "normal_form",
     )
     return found.unionByName(maturities).distinct()
+
+
+# -------------------------------------------------- 4 quantities in common units
+
+
+def unit_families(spark: SparkSession, d: str) -> dict[str, list[tuple[str, float]]]:
+    """Candidate units by dimension, base unit first, from the fixed tables; money is scaled currencies."""
+    units: dict[str, list[tuple[str, float]]] = {}
+    rows = table(spark, d, "unit_reference").select("dimension", "unit_code", "base_unit", F.col("to_base").cast("double").alias("size")).collect()
+    for r in sorted(rows, key=lambda r: (r["dimension"], r["unit_code"] != r["base_unit"], r["unit_code"])):
+        units.setdefault(r["dimension"], []).append((r["unit_code"], r["size"]))
+    rates = table(spark, d, "currency_reference").select("currency_code", F.col("usd_per_unit").cast("double").alias("size")).collect()
+    units["money"] = [
+        (f"{r['currency_code']}*{scale}", r["size"] * scale)
+        for scale in (1, 1_000, 1_000_000) for r in sorted(rates, key=lambda r: (r["currency_code"] != "USD", r["currency_code"]))
+    ]
+    units["rate"] = [("bps", 1.0), ("percent", 100.0), ("fraction", 10_000.0)]
+    return units
+
+
+def _sizes(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(unit, dimension, base_unit, size) and (currency, rate) of the fixed reference tables."""
+    return (
+        table(spark, d, "unit_reference").select("unit_code", "dimension", "base_unit", F.col("to_base").cast("decimal(19,12)").alias("size")),
+        table(spark, d, "currency_reference").select("currency_code", F.col("usd_per_unit").cast("decimal(16,8)").alias("rate")),
+    )
+
+
+def _whole(c):
+    """Rounded to a whole number, halves away from zero."""
+    return F.round(c, 0).cast("bigint")
+
+
+def measured(spark: SparkSession, d: str) -> DataFrame:
+    """Every recorded quantity as one row: (record_table, record_id, field_name, device, at, amount, stated, family, unit_text, given).
+
+    ``stated`` is the unit that the record or its text prints, ``family`` its
+    dimension, ``amount`` the printed number.
+    """
+    units, _ = _sizes(spark, d)
+    n18 = "decimal(18,6)"
+    position = table(spark, d, "fund_position")
+    raw = squeeze(F.col("quantity_raw"))
+    number = r"^([(\-−–]?[\d,]*\.?\d+\)?) ?(.*)$"
+    words = F.regexp_extract(raw, number, 2)
+    quantities = position.filter("quantity_raw is not null").select(
+        "position_id", "owner_id", "instrument_id", "report_date",
+        printed_number(F.regexp_extract(raw, number, 1), n18).alias("amount"),
+        unit_words(F.when(words != "", words).otherwise(F.col("quantity_unit"))).alias("words"),
+    ).withColumn("stated", unit_code(F.col("words")))
+    quantities = quantities.join(F.broadcast(units.select(F.col("unit_code").alias("stated"), F.col("dimension").alias("family"))), "stated", "left").select(
+        F.lit("fund_position").alias("record_table"), F.col("position_id").alias("record_id"), F.lit("quantity").alias("field_name"),
+        F.concat_ws("/", "owner_id", "instrument_id").alias("device"), F.col("report_date").alias("at"), "amount", "stated", "family",
+        F.col("stated").isNotNull().alias("counts"),
+    )
+    money = lambda code, scale: F.when(code.isNotNull(), F.concat_ws("*", code, scale.cast("string")))
+    values = position.filter("fair_value is not null").select(
+        F.lit("fund_position").alias("record_table"), F.col("position_id").alias("record_id"), F.lit("fair_value").alias("field_name"),
+        F.concat_ws("/", "owner_id", "instrument_id").alias("device"), F.col("report_date").alias("at"), F.col("fair_value").try_cast(n18).alias("amount"),
+        money(currency_code(F.col("currency")), scale_of(F.lower("currency"))).alias("stated"), F.lit("money").alias("family"),
+        F.col("currency").isNotNull().alias("counts"),
+    )
+    basis = F.lower(squeeze(F.col("rate_basis_raw")))
+    after = r"(?:\+|plus) ?(\d+(?:\.\d+)?) ?(%|per ?cent|percent|bps?|basis points)?"
+    before = r"^(\d+(?:\.\d+)?) ?(%|per ?cent|percent|bps?|basis points) (?:margin )?(?:over|above)"
+    spread = lambda i: F.coalesce(F.nullif(F.regexp_extract(basis, after, i), F.lit("")), F.nullif(F.regexp_extract(basis, before, i), F.lit("")))
+    spreads = table(spark, d, "investment_instrument").filter("rate_basis_raw is not null").select(
+        "instrument_id", "spread_bps", spread(1).alias("n"), spread(2).alias("u"),
+    ).filter("n is not null").select(
+        F.lit("investment_instrument").alias("record_table"), F.col("instrument_id").alias("record_id"), F.lit("spread_bps").alias("field_name"),
+        F.col("instrument_id").alias("device"), F.lit(None).cast("date").alias("at"), F.col("n").try_cast(n18).alias("amount"),
+        F.when(F.col("u").rlike("^(%|per)"), "percent").otherwise("bps").alias("stated"), F.lit("rate").alias("family"),
+        F.when(F.col("u").rlike("^(%|per)"), F.col("n").try_cast("decimal(18,6)") * 100).otherwise(F.col("n").try_cast("decimal(18,6)")).alias("bps"), "spread_bps",
+    ).select(
+        "record_table", "record_id", "field_name", "device", "at", "amount", "stated", "family",
+        (~F.col("bps").eqNullSafe(F.col("spread_bps"))).alias("counts"),
+    )
+    printed = squeeze(F.col("printed_value"))
+    shape = r"^(-?[(]?-?)\s*([^\d(),.\-]*)\s*(\(?)\s*([\d,]*\.?\d+)(\)?)\s*(.*)$"
+    heading = F.regexp_extract("note", r"\((\S+) in (\w+)\)", 1)
+    told = F.regexp_extract("note", r"prints (?:negative )?\w+ in ([A-Z]{3})\b", 1)
+    note_scale = F.concat_ws(" ", F.regexp_extract("note", r"\(\S+ in (\w+)\)", 1), F.regexp_extract("note", r"prints (?:negative )?\w+ in [A-Z]{3} (\w+)", 1))
+    exceptions = table(spark, d, "quality_source_exceptions").select(
+        "observation_id", "field", F.coalesce("note", F.lit("")).alias("note"), printed.alias("p"),
+    ).filter(F.col("p").rlike(r"\d")).select(
+        "observation_id", "field", "note", "p",
+        F.regexp_extract("p", shape, 2).alias("mark"), F.regexp_extract("p", shape, 4).alias("digits"), F.lower(F.regexp_extract("p", shape, 6)).alias("tail"),
+        (F.translate("p", "−–", "--").startswith("-") | F.col("p").contains("(")).alias("negative"), heading.alias("heading"), told.alias("told"), note_scale.alias("note_scale"),
+    )
+    sign = F.when(F.col("negative"), F.lit(-1)).otherwise(F.lit(1))
+    amount = (printed_number(F.col("digits"), n18) * sign).cast(n18)
+    rate_unit = (
+        F.when(F.col("tail").rlike(r"bps?|basis"), "bps").when(F.col("tail").rlike("%|per ?cent"), "percent")
+        .when(F.col("note").rlike("(?i)decimal fraction"), "fraction").when(F.col("note").rlike("(?i)percent"), "percent")
+    )
+    code = F.coalesce(
+        currency_code(F.nullif(F.trim("mark"), F.lit(""))), currency_code(F.nullif(F.col("heading"), F.lit(""))),
+        currency_code(F.nullif(F.col("told"), F.lit(""))), F.lit("USD"),
+    )
+    scale = F.greatest(scale_of(F.col("tail")), scale_of(F.lower("note_scale")))
+    is_rate = F.col("field") == "reported_irr"
+    exceptions = exceptions.select(
+        F.lit("quality_source_exceptions").alias("record_table"), F.col("observation_id").alias("record_id"), F.lit("printed_value").alias("field_name"),
+        F.col("observation_id").alias("device"), F.lit(None).cast("date").alias("at"), amount.alias("amount"),
+        F.when(is_rate, rate_unit).otherwise(money(code, scale)).alias("stated"), F.when(is_rate, "rate").otherwise("money").alias("family"),
+        F.lit(True).alias("counts"),
+    )
+    return quantities.unionByName(values).unionByName(spreads).unionByName(exceptions).filter("amount is not null")
+
+
+def p4_units(spark: SparkSession, d: str) -> DataFrame:
+    """Every quantity in base units, with the unit it was recorded in, stated or decoded."""
+    rows = units_op.decode(measured(spark, d), ["record_table", "field_name", "device"], ["at"], "amount", "stated", unit_families(spark, d), "family")
+    units, rates = _sizes(spark, d)
+    wide = rows.join(F.broadcast(units.withColumnRenamed("unit_code", "unit").drop("dimension")), "unit", "left").withColumns({
+        "currency_code": F.when(F.col("family") == "money", F.substring_index("unit", "*", 1)),
+        "scale": F.when(F.col("family") == "money", F.substring_index("unit", "*", -1).try_cast("decimal(7,0)")),
+    }).join(F.broadcast(rates), "currency_code", "left")
+    rate_size = F.when(F.col("unit") == "bps", 1).when(F.col("unit") == "percent", 100).when(F.col("unit") == "fraction", 10_000)
+    value = (
+        F.when(F.col("family") == "money", F.try_multiply(F.col("amount"), (F.col("rate") * F.col("scale")).cast("decimal(20,8)")))
+        .when(F.col("family") == "rate", F.try_multiply(F.col("amount"), rate_size.cast("decimal(20,8)")))
+    )
+    in_units = F.try_multiply(F.col("amount"), F.col("size"))
+    base = F.when(F.col("family") == "money", "USD").when(F.col("family") == "rate", "bps").otherwise(F.col("base_unit"))
+    return wide.select(
+        "record_table", "record_id", "field_name", base.alias("base_unit"), F.coalesce(_whole(value), _whole(in_units)).alias("base_value"),
+        "unit", F.col("stated").isNotNull().alias("unit_stated"), "counts",
+    )
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    plain = F.col("unit") == F.when(F.col("field_name") == "quantity", F.col("base_unit")).when(F.col("field_name") == "fair_value", "USD*1").otherwise("")
+    return p4_units(spark, d).filter(F.col("unit_stated") & F.col("counts") & ~plain & F.col("base_value").isNotNull()).select(
+        "record_table", "record_id", "field_name", "base_unit", "base_value"
+    ).distinct()

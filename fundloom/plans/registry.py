@@ -13,6 +13,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": general.p1_found,
         "p1_hierarchies": general.p1_hierarchies,
+        "p4_found": general.p4_found,
+        "p4_units": general.p4_units,
         "p5_found": general.p5_found,
         "p6_found": general.p6_found,
         "p7_found": general.p7_found,
