@@ -28,6 +28,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fundloom.functions.frames import frame
+
 #: Encodings as which UTF-8 bytes may have been read, the commonest first.
 MISREAD_UTF8 = ("cp1252", "mac_roman", "cp437", "cp850", "cp1250", "cp1251", "koi8_r", "cp866", "iso8859_2")
 #: (read as, meant as) for single-byte text.
@@ -229,8 +231,8 @@ def repaired(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             done = [repair(t) for t in f["t"]]
-            out = pd.DataFrame({"k": f["k"], "repaired_text": [d[0] for d in done], "stretches": [d[1] for d in done], "lost_bytes": [d[2] for d in done]})
-            yield out[out["stretches"] > 0]
+            hit = [i for i, d in enumerate(done) if d[1]]
+            yield frame(k=f["k"].iloc[hit], repaired_text=[done[i][0] for i in hit], stretches=[done[i][1] for i in hit], lost_bytes=[done[i][2] for i in hit])
 
     found = df.select(F.col(key).alias("k"), F.col(text).alias("t")).filter(F.col("t").rlike(SUSPECT)).mapInPandas(
         run, f"k {kind}, repaired_text string, stretches int, lost_bytes boolean"

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fundloom.llm import mojibake
+from fundloom.llm import mojibake, names
 from fundloom.sources.tables import table
 
 # --------------------------------------------------------------- 10 garbled text
@@ -17,3 +18,28 @@ def p10_repaired(spark: SparkSession, d: str) -> DataFrame:
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return p10_repaired(spark, d).select("doc_id").distinct()
+
+
+# ------------------------------------------------------------ 3 variant spellings
+
+NAME_COLUMNS = [
+    ("manager", "manager_master", "manager_name"), ("manager", "wide_allocation_observation", "subject_manager_name"),
+    ("target", "investment_target", "printed_name_primary"), ("target", "wide_allocation_observation", "subject_name"),
+]
+
+
+def all_names(spark: SparkSession, d: str) -> DataFrame:
+    parts = [table(spark, d, t).select(F.lit(domain).alias("name_domain"), F.col(c).alias("name")).distinct() for domain, t, c in NAME_COLUMNS]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def p3_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Every name with its class and number of links."""
+    return names.classes(all_names(spark, d))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return names.variants(p3_classes(spark, d))
