@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundloom.llm import mojibake, names
+from fundloom.llm import mojibake, names, scans
 from fundloom.sources.tables import table
 
 # --------------------------------------------------------------- 10 garbled text
@@ -43,3 +43,17 @@ def p3_classes(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return names.variants(p3_classes(spark, d))
+
+
+# --------------------------------------------------------------- 2 scanned pages
+
+BLOCK_COLUMNS = ["block_id", "file_id", "physical_page", "printed_page", "original_text", "search_text"]
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return scans.noise(table(spark, d, "blocks").select(*BLOCK_COLUMNS))
+
+
+def p2_repaired(spark: SparkSession, d: str) -> DataFrame:
+    """Every block as continuous text with a clean page label."""
+    return scans.reflowed(table(spark, d, "blocks").select(*BLOCK_COLUMNS))

@@ -11,6 +11,8 @@ from fundloom.llm import plans
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "p2_found": plans.p2_found,
+        "p2_repaired": plans.p2_repaired,
         "p3_found": plans.p3_found,
         "p3_classes": plans.p3_classes,
         "p10_found": plans.p10_found,
