@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fundloom.plans import general
+from fundloom.plans import general, reference
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    return reference.QUERIES | {
         "p1_found": general.p1_found,
         "p1_hierarchies": general.p1_hierarchies,
         "p4_found": general.p4_found,
@@ -23,8 +23,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(reference.SQL)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return general.p1_found(spark, sf_dir)
+    return reference.ks_pme(spark, sf_dir)
