@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fundloom.plans import general, reference
+from fundloom.plans import general, general_sql, reference
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,7 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(reference.SQL)
+    return reference.SQL | general_sql.SQL
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
