@@ -23,7 +23,7 @@ from fundloom.operators.zones import ABBREVIATIONS, with_offset
 #: Words that may stand before a date.
 LEAD = r"^(?:as at|as of|due|matures|maturing|year|(?:mon|tue|tues|wed|wednes|thu|thur|thurs|fri|sat|satur|sun)(?:day)?,?) "
 WITH_TIME = (
-    r"^(.*?)(?:, | |t)(\d{1,2}):(\d{2})(?::(\d{2}))?(?:\.\d+)? ?(am|pm)? ?"
+    r"^(.*?)(?:, | |t)(\d{1,2}):(\d{2})(?::(\d{2}))?(?:\.\d+)? ?(?:(am|pm)\b)? ?"
     r"(z|[+-]\d{2}:?\d{2}|\[[a-z_/+-]+\]|[a-z]+(?:/[a-z_]+)*)?$"
 )
 QUARTERS = {"first": 1, "second": 2, "third": 3, "fourth": 4}
