@@ -84,7 +84,7 @@ def _plausible(c: str) -> bool:
     o = ord(c)
     return (
         0xA0 <= o <= 0x17F or o in (0x192, 0x218, 0x219, 0x21A, 0x21B, 0x2C6, 0x2DC) or 0x391 <= o <= 0x3C9 or 0x400 <= o <= 0x45F
-        or 0x2010 <= o <= 0x203A or 0x20A0 <= o <= 0x20BF or 0x2070 <= o <= 0x209F or 0x2100 <= o <= 0x22FF or 0x2500 <= o <= 0x25FF or o in (0xFB01, 0xFB02)
+        or 0x2010 <= o <= 0x203A or 0x20A0 <= o <= 0x20BF or 0x2070 <= o <= 0x209F or 0x2100 <= o <= 0x23FF or 0x2500 <= o <= 0x25FF or o in (0xFB01, 0xFB02)
     )
 
 
@@ -105,17 +105,17 @@ _RUN = re.compile(r"[^\x00-\x7f]{2,}")
 def _fix_run(run: str) -> str:
     """A run of characters beyond ASCII with one layer undone.
 
-    Sequences of cp1252 are repaired wherever they stand in the run; under
-    another encoding the whole run must decode, as several of these share
-    letters with real text.
+    A run that decodes as a whole is taken whole, under the first encoding that
+    explains it; else sequences of cp1252 are repaired wherever they stand in
+    it. Several of the other encodings share letters with real text, so parts
+    of a run are no evidence for them.
     """
-    new = _sequences().sub(lambda m: _unmisread(m.group(), "cp1252"), run)
-    for encoding in MISREAD_UTF8[1:]:
-        if new != run:
-            break
+    for encoding in MISREAD_UTF8:
         if run[0] in _leads(encoding) and all(c in _to_bytes(encoding) for c in run):
             new = _unmisread(run, encoding)
-    return new
+            if new != run:
+                return new
+    return _sequences().sub(lambda m: _unmisread(m.group(), "cp1252"), run)
 
 
 #: Runs of letters and of characters beyond ASCII, whatever these are: a garbled letter may be a sign or a hard blank.

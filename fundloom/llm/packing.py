@@ -34,6 +34,8 @@ SHARD_ITEMS, GOOD_FILL, SHRINK = 20_000, 0.97, 8
 def pack(tokens: np.ndarray, loss: np.ndarray, capacity: int, max_segments: int, max_loss: int) -> np.ndarray:
     """Container number of each item; every item fits alone."""
     limits = np.array([capacity, max_segments, max_loss], dtype=float)
+    if len(tokens) and (tokens.max() > capacity or loss.max() > max_loss or max_segments < 1):
+        raise ValueError("an item exceeds a container")
     sizes, inverse = np.unique(np.stack([tokens, loss], axis=1), axis=0, return_inverse=True)
     inverse = inverse.ravel()
     order = np.argsort(inverse, kind="stable")

@@ -33,7 +33,9 @@ def token_count(text: str | None, vocabulary: str = VOCABULARY) -> int:
 
 
 def measured(df: DataFrame, key: str, text: str, keep: tuple[str, ...] = (), vocabulary: str = VOCABULARY) -> DataFrame:
-    """(key, *keep, prompt_tokens, answer_tokens): the tokens of each text before and after its first paragraph break.
+    """(key, *keep, prompt_tokens, answer_tokens): the tokens of each text up to its first paragraph break, and the others.
+
+    Their sum is the size of the whole text.
 
     A text of one paragraph is all answer. The texts themselves do not leave
     the scan's tasks: only their sizes are passed on.
@@ -47,7 +49,7 @@ def measured(df: DataFrame, key: str, text: str, keep: tuple[str, ...] = (), voc
             for t in f["__text"]:
                 first, gap, rest = ("", "", "") if t is None or t != t else t.partition("\n\n")
                 prompts.append(token_count(first + gap, vocabulary) if rest else 0)
-                answers.append(token_count(rest or first + gap, vocabulary))
+                answers.append(token_count(t if gap else first, vocabulary) - prompts[-1])
             yield frame(**{k: f[k] for k in kept}, prompt_tokens=prompts, answer_tokens=answers)
 
     schema = ", ".join(f"`{k}` {types[k]}" for k in kept) + ", prompt_tokens bigint, answer_tokens bigint"
