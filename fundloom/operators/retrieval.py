@@ -19,7 +19,11 @@ def bm25(docs: DataFrame, key: str, text: str, query: list[str], k1: float = 1.2
     document and only one row of corpus statistics is shared.
     """
     words = docs.select(key, tokens(F.col(text)).alias("w"))
-    tf = [F.size(F.filter("w", lambda x, q=q: x == q)).cast("double") for q in query]
+
+    def equals(q: str):
+        return lambda x: x == F.lit(q)
+
+    tf = [F.size(F.filter("w", equals(q))).cast("double") for q in query]
     counted = words.select(key, F.size("w").cast("double").alias("len"), *[t.alias(f"tf{i}") for i, t in enumerate(tf)])
     stats = counted.agg(F.count(F.lit(1)).alias("n"), F.avg("len").alias("avg"), *[F.sum((F.col(f"tf{i}") > 0).cast("int")).alias(f"df{i}") for i in range(len(query))])
     scored = counted.filter(" or ".join(f"tf{i} > 0" for i in range(len(query)))).join(F.broadcast(stats))  # one row

@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from fundloom.functions import finance, ids, labels
 from fundloom.functions.numbers import printed_number
-from fundloom.operators import asof, relational
+from fundloom.operators import asof, relational, retrieval
+from fundloom.sources import files
 from fundloom.sources.tables import table
+from fundloom.streaming import windows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -519,3 +521,101 @@ def quarter_ends(spark, d):
 def json_attributes(spark, d):
     k = F.from_json("props", "k bigint")["k"]
     return table(spark, d, "events").select("event_id", k.alias("k"), k.isin(1, 2, 3).alias("wanted"))
+
+
+# ------------------------------------------------------------------ retrieval
+
+
+_TERMS = ["portfolio", "leverage", "buyout"]
+_BM25_SQL = """t AS (SELECT doc_id, regexp_extract_all(lower(COALESCE(text,'')), '[a-z0-9]+') AS w FROM documents),
+c AS (SELECT doc_id, len(w)*1.0 AS l, """ + ", ".join(f"len(list_filter(w, lambda x: x='{t}'))*1.0 AS tf{i}" for i, t in enumerate(_TERMS)) + """ FROM t),
+s AS (SELECT COUNT(*) AS n, AVG(l) AS a, """ + ", ".join(f"COUNT(*) FILTER (tf{i}>0) AS df{i}" for i in range(3)) + """ FROM c),
+k AS (SELECT doc_id, """ + " + ".join(f"ln(1+(n-df{i}+0.5)/(df{i}+0.5))*tf{i}*2.2/(tf{i}+1.2*(0.25+0.75*l/a))" for i in range(3)) + """ AS score FROM c, s WHERE tf0>0 OR tf1>0 OR tf2>0)"""
+_DOT = "list_sum(list_transform(list_zip({a},{b}), lambda z: CAST(z[1] AS DOUBLE)*CAST(z[2] AS DOUBLE)))"
+_VECTOR_SQL = (
+    "q AS (SELECT embedding AS qe FROM embeddings WHERE vec_id=7), v AS (SELECT vec_id AS doc_id, "
+    + _DOT.format(a="embedding", b="qe") + "/sqrt(" + _DOT.format(a="embedding", b="embedding") + "*" + _DOT.format(a="qe", b="qe") + ") AS score FROM embeddings, q)"
+)
+
+
+@query(f"WITH {_BM25_SQL} SELECT doc_id, ROUND(score,6) AS score FROM k ORDER BY ROUND(k.score,9) DESC, doc_id LIMIT 20")
+def bm25_top(spark, d):
+    """The 20 best documents for three query words; the limit is the report."""
+    scored = retrieval.bm25(table(spark, d, "documents"), "doc_id", "text", _TERMS).withColumn("s", F.round("score", 9))
+    return retrieval.top(scored, "s", "doc_id", 20).select("doc_id", F.round("score", 6).alias("score"))
+
+
+@query(f"WITH {_VECTOR_SQL} SELECT doc_id AS vec_id, ROUND(score,5) AS score FROM v ORDER BY ROUND(v.score,9) DESC, doc_id LIMIT 20")
+def vector_top(spark, d):
+    """The 20 nearest vectors to one; the limit is the report."""
+    return retrieval.top(_nearest(spark, d), "s", "vec_id", 20).select("vec_id", F.round("score", 5).alias("score"))
+
+
+def _nearest(spark, d):
+    v = table(spark, d, "embeddings")
+    one = v.filter("vec_id = 7").select(F.col("embedding").alias("q"))  # the query: one row
+    return v.crossJoin(F.broadcast(one)).select("vec_id", retrieval.cosine(F.col("embedding"), F.col("q")).alias("score")).withColumn("s", F.round("score", 9))
+
+
+@query(f"""WITH {_BM25_SQL}, {_VECTOR_SQL}, a AS (SELECT doc_id, ROW_NUMBER() OVER (ORDER BY ROUND(score,9) DESC, doc_id) AS r FROM k), b AS (SELECT doc_id, ROW_NUMBER() OVER (ORDER BY ROUND(score,9) DESC, doc_id) AS r FROM v),
+ u AS (SELECT doc_id, 1.0/(60+r) AS s FROM a WHERE r<=50 UNION ALL SELECT doc_id, 0.7/(60+r) FROM b WHERE r<=50) SELECT doc_id, ROUND(SUM(s),8) AS score FROM u GROUP BY 1""")
+def hybrid_retrieval(spark, d):
+    """Keyword and vector top lists fused by reciprocal ranks with weights 1.0 and 0.7."""
+    words = retrieval.top(retrieval.bm25(table(spark, d, "documents"), "doc_id", "text", _TERMS).withColumn("s", F.round("score", 9)), "s", "doc_id", 50)
+    near = retrieval.top(_nearest(spark, d), "s", "vec_id", 50).withColumnRenamed("vec_id", "doc_id")
+    return retrieval.fuse([(words, 1.0), (near, 0.7)], "doc_id").select("doc_id", F.round("score", 8).alias("score"))
+
+
+# ---------------------------------------------------- profiles, aliases, clusters
+
+
+@query("""SELECT 'orders' AS name, COUNT(*) AS n_rows, 6::BIGINT AS n_columns, CAST(MIN(o_orderdate) AS DATE) AS first_date, CAST(MAX(o_orderdate) AS DATE) AS last_date FROM orders
+ UNION ALL SELECT 'lineitem', COUNT(*), 11, CAST(MIN(l_shipdate) AS DATE), CAST(MAX(l_shipdate) AS DATE) FROM lineitem UNION ALL SELECT 'events', COUNT(*), 6, CAST(MIN(ts) AS DATE), CAST(MAX(ts) AS DATE) FROM events""")
+def table_profiles(spark, d):
+    """Rows, columns and date range of tables: column-pruned scans."""
+    out = None
+    for name, c in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"), ("events", "ts")):
+        p = files.profile(table(spark, d, name), c).select(F.lit(name).alias("name"), "n_rows", "n_columns", "first_date", "last_date")
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+@query("""WITH k AS (SELECT DISTINCT trim(regexp_replace(regexp_replace(regexp_replace(lower(subject_name),'[^a-z0-9 ]',' ','g'),'\\b(the|inc|llc|lp|ltd|limited|corp|corporation|company|co|plc|gmbh|sa|bv)\\b',' ','g'),'\\s+',' ','g')) AS key, subject_name AS n FROM wide_allocation_observation WHERE subject_name IS NOT NULL)
+ SELECT key, COUNT(*) AS spellings, MIN(n) AS first_spelling FROM k GROUP BY 1 HAVING COUNT(*)>1""")
+def match_key_clusters(spark, d):
+    """Spellings that share a key without punctuation and legal words."""
+    k = table(spark, d, "wide_allocation_observation").filter("subject_name is not null").select(F.col("subject_name").alias("n")).distinct()
+    return k.groupBy(labels.firm_key(F.col("n")).alias("key")).agg(F.count(F.lit(1)).alias("spellings"), F.min("n").alias("first_spelling")).filter("spellings > 1")
+
+
+@query("""WITH p AS (SELECT * FROM fund_position), r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY position_id ORDER BY report_date, source_document_id) AS rn FROM p) SELECT owner_id, COUNT(*) AS positions, COUNT(*) FILTER (quantity_raw IS NOT NULL) AS with_quantity, COUNT(DISTINCT instrument_id) AS instruments FROM r WHERE rn=1 GROUP BY 1""")
+def deduplicated_positions(spark, d):
+    p = table(spark, d, "fund_position").select("position_id", "owner_id", "instrument_id", "quantity_raw", "report_date", "source_document_id")
+    one = relational.latest_per_key(p, ["position_id"], [F.col("report_date").asc_nulls_last(), F.col("source_document_id").asc_nulls_last()])
+    return one.groupBy("owner_id").agg(F.count(F.lit(1)).alias("positions"), F.count("quantity_raw").alias("with_quantity"), F.countDistinct("instrument_id").alias("instruments"))
+
+
+@query("""SELECT a.check_name, a.violations FROM (SELECT 'position_without_instrument' AS check_name, COUNT(*) AS violations FROM fund_position WHERE instrument_id IS NOT NULL AND instrument_id NOT IN (SELECT instrument_id FROM investment_instrument WHERE instrument_id IS NOT NULL)
+ UNION ALL SELECT 'instrument_without_target', COUNT(*) FROM investment_instrument WHERE target_id IS NOT NULL AND target_id NOT IN (SELECT target_id FROM investment_target WHERE target_id IS NOT NULL)
+ UNION ALL SELECT 'repeated_position', COUNT(*) FROM (SELECT position_id FROM fund_position GROUP BY 1 HAVING COUNT(*)>1)
+ UNION ALL SELECT 'edge_parent_unknown', COUNT(*) FROM (SELECT DISTINCT parent_position_id FROM lookthrough_edge WHERE parent_position_id NOT IN (SELECT position_id FROM fund_position))) a""")
+def integrity_violations(spark, d):
+    """Violations-only checks of keys across the holdings tables."""
+    pos, ins, tgt, edge = (table(spark, d, t) for t in ("fund_position", "investment_instrument", "investment_target", "lookthrough_edge"))
+    checks = {
+        "position_without_instrument": relational.missing_parents(pos.select("instrument_id"), "instrument_id", ins, "instrument_id"),
+        "instrument_without_target": relational.missing_parents(ins.select("target_id"), "target_id", tgt, "target_id"),
+        "repeated_position": relational.repeated_keys(pos.select("position_id"), ["position_id"]),
+        "edge_parent_unknown": relational.missing_parents(edge.select("parent_position_id").distinct(), "parent_position_id", pos, "position_id"),
+    }
+    out = None
+    for name, bad in checks.items():
+        row = bad.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check_name"), "violations")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("""SELECT window_start, event_type, COUNT(*) AS n, ROUND(SUM(value),4) AS total FROM (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, value FROM events) GROUP BY 1,2""")
+def hourly_events(spark, d):
+    """Tumbling one-hour counts, the batch twin of the stream."""
+    return windows.hourly(table(spark, d, "events")).select(F.col("window.start").alias("window_start"), "event_type", "n", r4("total").alias("total"))
