@@ -22,7 +22,7 @@ def typed(df: DataFrame, schema: dict[str, str]) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+    df.write.mode("overwrite").option("header", True).option("emptyValue", "").option("escape", '"').csv(path)
 
 
 def read_json_lines(spark: SparkSession, path: str, schema) -> DataFrame:
