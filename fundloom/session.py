@@ -40,3 +40,12 @@ def checkpoint(df: DataFrame) -> DataFrame:
         else:
             raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` hashed by ``keys`` into the session's full number of partitions.
+
+    For Python work: rows that are few in bytes but long in computing would
+    otherwise be coalesced into one task.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
