@@ -152,12 +152,13 @@ def word_cost(word: str) -> float:
 def _swap_single(text: str) -> tuple[str, int]:
     """The stretch whose words' cost drops most under one pair of single-byte encodings, swapped.
 
-    The pair must explain at least three different words and half of the cost.
+    The pair must explain at least three different words, or one that no one
+    writes so, and half of the cost.
     """
     words = list(_WORD.finditer(text))
     costs = [word_cost(m.group()) for m in words]
     total = sum(costs)
-    if total < 4:
+    if total < 3:
         return text, 0
     best: tuple[float, list] = (0.0, [])
     for read, meant in MISREAD_SINGLE:
@@ -176,7 +177,7 @@ def _swap_single(text: str) -> tuple[str, int]:
             gain += cost - after
             if cost > after:
                 distinct.add(w)
-        if gain > best[0] and len(distinct) >= 3:
+        if gain > best[0] and (len(distinct) >= 3 or any(span[3] >= 3 for span in spans)):
             best = (gain, spans)
     if best[0] < 0.5 * total:
         return text, 0
