@@ -13,7 +13,8 @@ pivots differ are both no farther from either pivot than their own nearest
 distance plus 2 r. Each cell is then joined exactly.
 
 Defined results: null and blank names are no names; repeated names count once;
-a name without distinctive letters is linked to nothing; classes are the
+a name without distinctive letters is linked to nothing; a short form of
+several first names stands for the one that its family spells out; classes are the
 connected components of the links.
 """
 
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from fundloom.functions.frames import frame
 from fundloom.operators.components import components
-from fundloom.session import checkpoint
+from fundloom.session import checkpoint, spread
 
 # Descriptor words with their usual abbreviations.
 ABBREVIATED = {
@@ -50,19 +51,23 @@ LEGAL = {"lp", "llc", "inc", "limited", "corporation", "gmbh", "bv", "sa", "comp
 ROMAN = {"i": 1, "ii": 2, "iii": 3, "iv": 4, "v": 5, "vi": 6, "vii": 7, "viii": 8, "ix": 9, "x": 10, "xi": 11, "xii": 12, "xiii": 13, "xiv": 14, "xv": 15}
 # First names with their usual short forms.
 NICKNAMES = {
-    "alexander": ["alex", "sandy", "alec", "xander"], "andrew": ["andy", "drew"], "anthony": ["tony"], "barbara": ["barb"], "benjamin": ["ben"],
-    "catherine": ["cathy", "cate"], "charles": ["charlie", "chuck", "chas"], "christopher": ["chris", "kit"], "daniel": ["dan", "danny"], "david": ["dave", "davy"],
+    "alexander": ["alex", "sandy", "alec", "xander"], "alexandra": ["alex", "sandy"], "sandra": ["sandy"], "andrew": ["andy", "drew"], "anthony": ["tony"], "barbara": ["barb"], "benjamin": ["ben"],
+    "catherine": ["cathy", "cate"], "charles": ["charlie", "chuck", "chas"], "christopher": ["chris", "kit"], "christine": ["chris", "chrissy"], "daniel": ["dan", "danny"], "david": ["dave", "davy"],
     "deborah": ["deb", "debbie"], "dorothy": ["dot", "dottie"], "edward": ["ed", "ted", "eddie", "ned"], "elizabeth": ["beth", "liz", "betty", "eliza", "lizzie", "betsy"],
     "francis": ["frank"], "frederick": ["fred", "freddie"], "gregory": ["greg"], "henry": ["harry", "hank"], "james": ["jim", "jimmy", "jamie"],
     "jennifer": ["jen", "jenny"], "john": ["jack", "johnny"], "jonathan": ["jon"], "joseph": ["joe", "joey"], "joshua": ["josh"],
     "katherine": ["kate", "kathy", "katie", "kat", "kitty"], "kenneth": ["ken", "kenny"], "lawrence": ["larry", "laurie"], "margaret": ["maggie", "peggy", "meg", "marge", "greta"],
     "matthew": ["matt"], "michael": ["mike", "mick", "mickey"], "nancy": ["nan"], "nicholas": ["nick"], "pamela": ["pam"], "patricia": ["pat", "trish", "patty", "tricia"],
-    "patrick": ["paddy"], "peter": ["pete"], "philip": ["phil"], "raymond": ["ray"], "rebecca": ["becky", "becca"], "richard": ["rick", "dick", "rich", "richie"],
-    "robert": ["bob", "rob", "bobby", "robbie", "bert"], "ronald": ["ron"], "samuel": ["sam"], "stephen": ["steve"], "steven": ["steve"], "susan": ["sue", "susie", "suzy"],
-    "theodore": ["theo"], "thomas": ["tom", "tommy"], "timothy": ["tim"], "victoria": ["vicky", "tori"], "vincent": ["vince"], "walter": ["walt"], "william": ["will", "bill", "billy", "willy", "liam"],
+    "patrick": ["pat", "paddy"], "peter": ["pete"], "philip": ["phil"], "raymond": ["ray"], "rebecca": ["becky", "becca"], "richard": ["rick", "dick", "rich", "richie"],
+    "robert": ["bob", "rob", "bobby", "robbie", "bert"], "albert": ["bert", "al"], "ronald": ["ron"], "samuel": ["sam"], "samantha": ["sam"], "stephen": ["steve"], "steven": ["steve"], "susan": ["sue", "susie", "suzy"],
+    "theodore": ["theo", "ted", "teddy"], "thomas": ["tom", "tommy"], "timothy": ["tim"], "victoria": ["vicky", "tori"], "vincent": ["vince"], "walter": ["walt"], "william": ["will", "bill", "billy", "willy", "liam"],
 }
 _WORD_OF = {a: w for w, spelled in ABBREVIATED.items() for a in [w, *spelled]}
-_FIRST_OF = {n: f for f, nicks in NICKNAMES.items() for n in [f, *nicks]}
+#: The first names that a name may stand for; some short forms stand for several.
+_FIRSTS_OF: dict[str, list[str]] = {}
+for _first, _short in NICKNAMES.items():
+    for _n in [_first, *_short]:
+        _FIRSTS_OF.setdefault(_n, []).append(_first)
 
 
 @dataclass(frozen=True)
@@ -73,7 +78,7 @@ class Parts:
     kind: str
     form: str
     series: str
-    person: str
+    persons: tuple[str, ...]
 
 
 def _near(a: str, b: str) -> bool:
@@ -87,7 +92,7 @@ def read(name: str) -> Parts | None:
     s = re.sub(r"[.'’]", "", s)
     s = re.sub(r"[&+]|\band\b", " & ", s)
     words = re.findall(r"[^\W_]+|&", s)
-    kind, form, series, person, core = [], [], "", "", []
+    kind, form, series, persons, core = [], [], "", (), []
     joined = "&" in words
     longest = sorted((w for w in words if w != "&"), key=len)
     for w in words:
@@ -102,18 +107,18 @@ def read(name: str) -> Parts | None:
         if known:
             (form if known in LEGAL else kind).append(known)
             continue
-        first = _FIRST_OF.get(w)
+        first = _FIRSTS_OF.get(w)
         if first is None and len(w) >= 6:
-            first = next((f for f in NICKNAMES if len(f) >= 6 and _near(w, f)), None)
-        if first and len(longest) > 2 and not person:
-            person = first
+            first = next(([f] for f in NICKNAMES if len(f) >= 6 and _near(w, f)), None)
+        if first and len(longest) > 2 and not persons:
+            persons = tuple(first)
             continue
         core.append(w)
     if not core:
         return None
     if joined or len(core) == 2:
         core = sorted(core) if joined else core
-    return Parts("".join(core), " ".join(sorted(set(kind))), " ".join(sorted(set(form))), series, person)
+    return Parts("".join(core), " ".join(sorted(set(kind))), " ".join(sorted(set(form))), series, persons or ("",))
 
 
 def distance(a: str, b: str, limit: int | None = None) -> int:
@@ -229,17 +234,21 @@ def segment_keys(name: str, radius: int) -> list[str]:
 
 
 def parsed(names: DataFrame) -> DataFrame:
-    """(name_domain, name, block, core) of distinct (name_domain, name); ``block`` holds the closed parts."""
+    """(name_domain, name, block, core, choices) of distinct (name_domain, name); ``block`` holds the closed parts.
+
+    A short form of several first names gives a row for each of them.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            parts = [read(n) for n in f["name"]]
-            yield frame(
-                name_domain=f["name_domain"], name=f["name"], core=[None if p is None else p.core for p in parts],
-                block=[None if p is None else "|".join((p.kind, p.series, p.person)) for p in parts],
-            )[["name_domain", "name", "block", "core"]]
+            rows = [
+                (d, n, "|".join((p.kind, p.series, person)), p.core, len(p.persons))
+                for d, n in zip(f["name_domain"], f["name"], strict=True) if (p := read(n)) is not None for person in p.persons
+            ]
+            columns = ("name_domain", "name", "block", "core", "choices")
+            yield frame(**{c: [r[i] for r in rows] for i, c in enumerate(columns)})
 
-    return names.mapInPandas(run, "name_domain string, name string, block string, core string").filter("core is not null")
+    return names.mapInPandas(run, "name_domain string, name string, block string, core string, choices int")
 
 
 def radius_join(cores: DataFrame, radius: int = RADIUS, cell: int = CELL, limit: int = CELL_LIMIT) -> DataFrame:
@@ -264,7 +273,7 @@ def radius_join(cores: DataFrame, radius: int = RADIUS, cell: int = CELL, limit:
                 core = np.array(list(g["core"]), dtype=object)
                 yield frame(block=[block] * len(x), cell=c, core=core[x], home=home[x] == c)
 
-    placed = checkpoint(cores.join(pivots, "block").mapInPandas(assign, "block string, cell int, core string, home boolean"))
+    placed = checkpoint(spread(cores.join(pivots, "block"), "block", "core").mapInPandas(assign, "block string, cell int, core string, home boolean"))
     sizes = placed.groupBy("block", "cell").agg(F.count(F.lit(1)).alias("n"))
     # a divided cell: names meet only under a shared intact segment
     keyed = F.udf(lambda core: segment_keys(core, radius), "array<string>")
@@ -277,8 +286,9 @@ def radius_join(cores: DataFrame, radius: int = RADIUS, cell: int = CELL, limit:
         return frame(block=[g["block"].iloc[0]] * len(pairs), a=[p[0] for p in pairs], b=[p[1] for p in pairs])
 
     out = "block string, a string, b string"
-    pairs = small.groupBy("block", "cell", "part").applyInPandas(join, out)
-    return pairs.unionByName(large.groupBy("block", "cell", "part").applyInPandas(join, out).distinct())
+    by = ["block", "cell", "part"]
+    pairs = spread(small, *by).groupBy(*by).applyInPandas(join, out)
+    return pairs.unionByName(spread(large, *by).groupBy(*by).applyInPandas(join, out).distinct())
 
 
 def classes(names: DataFrame) -> DataFrame:
@@ -288,10 +298,16 @@ def classes(names: DataFrame) -> DataFrame:
     key = lambda c: F.concat_ws("\x1f", "block", c)
     labels = components(pairs.select(key("a").alias("a"), key("b").alias("b")))
     degree = pairs.select(key("a").alias("node")).unionByName(pairs.select(key("b").alias("node"))).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
-    return (
-        read_names.withColumn("node", key("core")).join(labels, "node", "left").join(degree, "node", "left")
-        .select("name_domain", "name", F.coalesce("label", "node").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
+    every = read_names.withColumn("node", key("core")).join(labels, "node", "left").join(degree, "node", "left").select(
+        "name_domain", "name", "block", "choices", F.coalesce("label", "node").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links")
     )
+    # a short form of several first names joins the class that a full name vouches for, else that of its first reading
+    sure = every.filter("choices = 1")
+    open_ = every.filter("choices > 1")
+    vouched = sure.join(open_.select("class_id").distinct(), "class_id", "left_semi").groupBy("class_id").agg(F.count(F.lit(1)).alias("full"))
+    best = F.min_by(F.struct("class_id", "links"), F.struct(F.coalesce("full", F.lit(0)) == 0, "block"))
+    chosen = open_.join(vouched, "class_id", "left").groupBy("name_domain", "name").agg(best.alias("c")).select("name_domain", "name", "c.class_id", "c.links")
+    return sure.select("name_domain", "name", "class_id", "links").unionByName(chosen)
 
 
 def variants(classed: DataFrame) -> DataFrame:
