@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fundloom.functions.frames import frame
-from fundloom.session import checkpoint
+from fundloom.session import checkpoint, spread
 
 CAPACITY, MAX_SEGMENTS, MAX_LOSS = 2_048, 16, 2_048
 SHARD_ITEMS, GOOD_FILL, SHRINK = 20_000, 0.97, 8
@@ -103,7 +103,7 @@ def containers(
         sharded = todo.select(
             F.col(key).alias("key"), "part", "start", "tokens", "loss", F.pmod(F.xxhash64(F.lit(level), key, "part"), F.lit(shards)).alias("shard")
         )
-        packed = checkpoint(sharded.groupBy("shard").applyInPandas(
+        packed = checkpoint(spread(sharded, "shard").groupBy("shard").applyInPandas(
             run, f"container_id string, key {kind}, part int, start bigint, tokens bigint, loss bigint, fill double"
         ).withColumnRenamed("key", key))
         if shards == 1:
