@@ -82,8 +82,11 @@ class Parts:
 
 
 def _near(a: str, b: str) -> bool:
-    """Whether one edit or less apart."""
-    return a == b or (abs(len(a) - len(b)) <= 1 and distance(a, b, 1) <= 1)
+    """Whether one edit or swap apart at most."""
+    if abs(len(a) - len(b)) > 1:
+        return False
+    i = next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+    return a[i + 1:] == b[i + 1:] or a[i:] == b[i + 1:] or a[i + 1:] == b[i:] or (a[i: i + 2] == b[i: i + 2][::-1] and a[i + 2:] == b[i + 2:])
 
 
 def read(name: str) -> Parts | None:
@@ -154,8 +157,8 @@ def distance(a: str, b: str, limit: int | None = None) -> int:
 # ------------------------------------------------------------ the metric join
 
 RADIUS = 2
-#: Names per cell aimed at, pivots of a block at most, and names of a cell beyond which it is divided by intact segments.
-CELL, MOST_PIVOTS, CELL_LIMIT = 256, 64, 4_000
+#: Names per cell aimed at, and names of a block beyond which it is divided by intact segments instead of pivots.
+CELL, BLOCK_LIMIT = 256, 4_000
 
 
 def encode(names: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -251,20 +254,26 @@ def parsed(names: DataFrame) -> DataFrame:
     return names.mapInPandas(run, "name_domain string, name string, block string, core string, choices int")
 
 
-def radius_join(cores: DataFrame, radius: int = RADIUS, cell: int = CELL, limit: int = CELL_LIMIT) -> DataFrame:
+def radius_join(cores: DataFrame, radius: int = RADIUS, cell: int = CELL, limit: int = BLOCK_LIMIT) -> DataFrame:
     """(block, a, b): the pairs of cores of one block within the radius, each once with a < b.
 
-    ``cores`` has distinct (block, core).
+    ``cores`` has distinct (block, core). Distances between unrelated names are
+    alike, so the more pivots a block has, the larger the part of it that each
+    cell repeats: beyond ``limit`` names a block is divided by the segments that
+    an edit leaves intact, which is as exact.
     """
     drawn = F.pmod(F.xxhash64("core"), F.lit(cell)) == 0
     ranked = F.struct(F.xxhash64("core").alias("h"), F.col("core").alias("c"))
-    pivots = cores.groupBy("block").agg(F.min(ranked).alias("one"), F.collect_list(F.when(drawn, ranked)).alias("some")).select(
-        "block", F.slice(F.array_sort(F.array_union(F.array("one"), "some")), 1, MOST_PIVOTS)["c"].alias("pivots")
+    pivots = cores.groupBy("block").agg(F.min(ranked).alias("one"), F.collect_list(F.when(drawn, ranked)).alias("some"), F.count(F.lit(1)).alias("n")).select(
+        "block", "n", F.when(F.col("n") <= limit, F.array_sort(F.array_union(F.array("one"), "some"))["c"]).alias("pivots")
     )
 
     def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             for block, g in f.groupby("block"):
+                if len(g["pivots"].iloc[0]) == 1:  # one cell: nothing to measure
+                    yield frame(block=g["block"], cell=[0] * len(g), core=g["core"], home=[True] * len(g))
+                    continue
                 codes, lengths = encode(list(g["core"]))
                 away = np.stack([distances(p, codes, lengths) for p in g["pivots"].iloc[0]], axis=1)
                 home = away.argmin(axis=1)
@@ -273,22 +282,21 @@ def radius_join(cores: DataFrame, radius: int = RADIUS, cell: int = CELL, limit:
                 core = np.array(list(g["core"]), dtype=object)
                 yield frame(block=[block] * len(x), cell=c, core=core[x], home=home[x] == c)
 
-    placed = checkpoint(spread(cores.join(pivots, "block"), "block", "core").mapInPandas(assign, "block string, cell int, core string, home boolean"))
-    sizes = placed.groupBy("block", "cell").agg(F.count(F.lit(1)).alias("n"))
-    # a divided cell: names meet only under a shared intact segment
+    sized = cores.join(pivots, "block")
+    placed = spread(sized.filter(F.col("n").between(2, limit)).select("block", "core", "pivots"), "block").mapInPandas(assign, "block string, cell int, core string, home boolean")
+    # names of a large block meet only under a shared intact segment
     keyed = F.udf(lambda core: segment_keys(core, radius), "array<string>")
-    sized = placed.join(sizes, ["block", "cell"])
-    small = sized.filter(F.col("n") <= limit).withColumn("part", F.lit(""))
-    large = sized.filter(F.col("n") > limit).withColumn("part", F.explode(keyed("core")))
+    large = spread(sized.filter(F.col("n") > limit).select("block", "core"), "block", "core").select(
+        "block", F.explode(keyed("core")).alias("part"), "core", F.lit(True).alias("home")
+    )
 
     def join(g: pd.DataFrame) -> pd.DataFrame:
         pairs = close_pairs(list(g["core"]), list(g["home"]), radius)
         return frame(block=[g["block"].iloc[0]] * len(pairs), a=[p[0] for p in pairs], b=[p[1] for p in pairs])
 
     out = "block string, a string, b string"
-    by = ["block", "cell", "part"]
-    pairs = spread(small, *by).groupBy(*by).applyInPandas(join, out)
-    return pairs.unionByName(spread(large, *by).groupBy(*by).applyInPandas(join, out).distinct())
+    pairs = spread(placed, "block", "cell").groupBy("block", "cell").applyInPandas(join, out)
+    return pairs.unionByName(spread(large, "block", "part").groupBy("block", "part").applyInPandas(join, out).distinct())
 
 
 def classes(names: DataFrame) -> DataFrame:
