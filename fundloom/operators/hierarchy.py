@@ -13,7 +13,7 @@ Defined results:
   repeated rows count once; a null or blank node id is no node;
 * an empty table gives an empty result;
 * a node on a cycle, or below one, has root ``CYCLE`` and depth -1, and its
-  path is null.
+  path is null; :func:`descendants` leaves it out, :func:`lineage` lists it too.
 """
 
 from __future__ import annotations
@@ -55,12 +55,14 @@ def _pending(state: DataFrame, share: float, least: int) -> tuple[int, list[tupl
     return total, [(r["hierarchy"], r["ptr"]) for r in hot]
 
 
-def resolve(edges: DataFrame, with_path: bool = True, share: float = 1 / 64, least: int = 50_000) -> DataFrame:
-    """(hierarchy, node, root, depth[, path]) of every node of :func:`links`.
+def resolve(edges: DataFrame, with_path: bool = True, share: float = 1 / 64, least: int = 50_000, with_walk: bool = False) -> DataFrame:
+    """(hierarchy, node, root, depth[, path][, walk]) of every node of :func:`links`.
 
     ``path`` runs from the root to the node. Path segments are concatenated as
     distances double; a segment that repeats a node is dropped at once, so a
-    cycle never grows one beyond twice its length.
+    cycle never grows one beyond twice its length. ``walk`` (with ``path`` only)
+    is for nodes on and below cycles: all their ancestors, farthest first, and
+    the node; it keeps the nearest of repeated nodes and is whole once one repeats.
     """
     known = edges.select("hierarchy", F.col("node").alias("parent"), F.lit(True).alias("known"))
     state = edges.join(known, ["hierarchy", "parent"], "left").select(
@@ -70,41 +72,67 @@ def resolve(edges: DataFrame, with_path: bool = True, share: float = 1 / 64, lea
         F.col("known").isNull().alias("done"),
         *([F.array("node").alias("path")] if with_path else []),
     )
-    state = checkpoint(state)
-    left, hot = _pending(state, share, least)
-    while left:
+    path = []
+    if with_path:
+        whole = F.concat("rest", "path")
+        once = F.reverse(F.array_distinct(F.reverse(whole)))
+        path = [(once if with_walk else F.when(F.size(F.array_distinct(whole)) == F.size(whole), whole)).alias("path")]
+
+    def moved(part: DataFrame, state: DataFrame, hot: list[tuple]) -> DataFrame:
         ahead = state.select(
             "hierarchy", F.col("node").alias("ptr"), F.col("ptr").alias("next"), F.col("depth").alias("more"),
             F.col("done").alias("end"), *([F.col("path").alias("rest")] if with_path else []),
         )
-        moved = join_unique(state.filter("not done"), ahead, ["hierarchy", "ptr"], "inner", hot)
-        path = []
-        if with_path:
-            whole = F.concat("rest", "path")
-            path = [F.when(F.size(F.array_distinct(whole)) == F.size(whole), whole).alias("path")]
-        state = state.filter("done").unionByName(
-            moved.select(
-                "hierarchy", "node", F.col("next").alias("ptr"), (F.col("depth") + F.col("more")).alias("depth"),
-                F.col("end").alias("done"), *path,
-            )
+        return join_unique(part, ahead, ["hierarchy", "ptr"], "inner", hot).select(
+            "hierarchy", "node", F.col("next").alias("ptr"), (F.col("depth") + F.col("more")).alias("depth"),
+            F.col("end").alias("done"), *path,
         )
-        state = checkpoint(state)
+
+    state = checkpoint(state)
+    left, hot = _pending(state, share, least)
+    while left:
+        state = checkpoint(state.filter("done").unionByName(moved(state.filter("not done"), state, hot)))
         before = left
         left, hot = _pending(state, share, least)
         if left == before:
             break
+    if with_walk and left:  # a cycle may be longer than every chain: double among its nodes until each walk repeats one
+        cyclic = state.filter("not done")
+        left, hot = _pending(cyclic.filter("size(path) = depth"), share, least)
+        while left:
+            cyclic = checkpoint(cyclic.filter("size(path) < depth").unionByName(moved(cyclic.filter("size(path) = depth"), cyclic, hot)))
+            left, hot = _pending(cyclic.filter("size(path) = depth"), share, least)
+        state = state.filter("done").unionByName(cyclic)
     return state.select(
         "hierarchy", "node",
         F.when(F.col("done"), F.col("ptr")).otherwise(CYCLE).alias("root"),
         F.when(F.col("done"), F.col("depth")).otherwise(-1).alias("depth"),
         *([F.when(F.col("done"), F.col("path")).alias("path")] if with_path else []),
+        *([F.when(~F.col("done"), F.col("path")).alias("walk")] if with_walk else []),
     )
 
 
 def descendants(resolved: DataFrame) -> DataFrame:
-    """(hierarchy, ancestor, descendant, distance) for each node and each node below it."""
+    """(hierarchy, ancestor, descendant, distance) for each node and each node below it, along paths.
+
+    Nodes on or below a cycle have no path and are left out; :func:`lineage` has them.
+    """
     return (
         resolved.filter("path is not null").select("hierarchy", "node", "depth", F.posexplode("path").alias("at", "ancestor"))
         .filter("at < depth")
         .select("hierarchy", "ancestor", F.col("node").alias("descendant"), (F.col("depth") - F.col("at")).alias("distance"))
     )
+
+
+def lineage(resolved: DataFrame) -> DataFrame:
+    """(hierarchy, ancestor, descendant, distance) for each node and each node below it, cycles included.
+
+    ``resolved`` has walks. On a cycle every node is below every other; a pair is
+    listed once with the shortest distance, and no node is its own descendant.
+    """
+    line = F.coalesce("path", "walk")
+    return (
+        resolved.select("hierarchy", "node", F.size(line).cast("long").alias("n"), F.posexplode(line).alias("at", "ancestor"))
+        .filter("at < n - 1")
+        .select("hierarchy", "ancestor", F.col("node").alias("descendant"), (F.col("n") - 1 - F.col("at")).alias("distance"))
+    )

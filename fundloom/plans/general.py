@@ -40,7 +40,10 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_hierarchies(spark: SparkSession, d: str) -> DataFrame:
-    """Every node with its path, depth, root and number of descendants."""
+    """Every node with its path, depth, root and number of descendants along paths: 0 on and below cycles, as its SQL twin has it.
+
+    p1_hierarchies_whole counts those too.
+    """
     whole = hierarchy.resolve(all_links(spark, d))
     below = hierarchy.descendants(whole).groupBy("hierarchy", F.col("ancestor").alias("node")).agg(F.count(F.lit(1)).alias("descendants"))
     return whole.join(below, ["hierarchy", "node"], "left").select(
@@ -49,6 +52,21 @@ def p1_hierarchies(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def p1_descendants(spark: SparkSession, d: str) -> DataFrame:
+    """Every (ancestor, descendant) with its distance, on and below cycles too."""
+    return hierarchy.lineage(hierarchy.resolve(all_links(spark, d), with_walk=True))
+
+
+def p1_hierarchies_whole(spark: SparkSession, d: str) -> DataFrame:
+    """p1_hierarchies with the descendants of every node, on and below cycles too."""
+    whole = hierarchy.resolve(all_links(spark, d), with_walk=True)
+    below = hierarchy.lineage(whole).groupBy("hierarchy", F.col("ancestor").alias("node")).agg(F.count(F.lit(1)).alias("descendants"))
+    return whole.join(below, ["hierarchy", "node"], "left").select(
+        "hierarchy", F.col("node").alias("node_id"), F.col("root").alias("root_id"), "depth",
+        F.concat_ws("/", "path").alias("path"), F.coalesce("descendants", F.lit(0)).alias("descendants"),
+    )
+
+
 # ------------------------------------------------------- 6 differences of copies
 
 RECORD_KEYS = ["document_id", "source_page", "source_table", "source_row_label", "source_column_label", "source_occurrence"]

@@ -27,6 +27,19 @@ SELECT r.h AS hierarchy, r.n AS node_id, COALESCE(r.root,'CYCLE') AS root_id, CA
 FROM r JOIN paths ON paths.h=r.h AND paths.n=r.n LEFT JOIN below ON below.h=r.h AND below.n=r.n"""
 
 
+P1_DESCENDANTS = f"""WITH RECURSIVE {_LINKS},
+walk(h, n, c, k, seen) AS (SELECT h, n, n, 0, [n] FROM e UNION ALL SELECT w.h, w.n, e.p, w.k+1, list_append(w.seen, e.p)
+ FROM walk w JOIN e ON e.h=w.h AND e.n=w.c JOIN e k ON k.h=e.h AND k.n=e.p WHERE NOT list_contains(w.seen, e.p))
+SELECT h AS hierarchy, c AS ancestor, n AS descendant, CAST(k AS BIGINT) AS distance FROM walk WHERE k>0"""
+
+P1_HIERARCHIES_WHOLE = f"""WITH RECURSIVE {_LINKS},
+paths AS (SELECT up.h, up.n, string_agg(up.c, '/' ORDER BY a.steps) AS path FROM up JOIN r a ON a.h=up.h AND a.n=up.c GROUP BY 1,2),
+below AS (SELECT h, c AS n, COUNT(*)-1 AS k FROM up GROUP BY 1,2)
+SELECT r.h AS hierarchy, r.n AS node_id, COALESCE(r.root,'CYCLE') AS root_id, CASE WHEN r.root IS NULL THEN -1 ELSE r.steps END AS depth,
+ CASE WHEN r.root IS NULL THEN '' ELSE path END AS path, below.k AS descendants
+FROM r JOIN paths ON paths.h=r.h AND paths.n=r.n JOIN below ON below.h=r.h AND below.n=r.n"""
+
+
 def _number(c: str) -> str:
     s = f"translate(regexp_replace({c}, '\\s+', '', 'g'), '−–‒', '---')"
     s = f"regexp_replace({s}, '(?i)(US\\$|C\\$|CA\\$|A\\$|AU\\$|[$€£¥]|USD|EUR|GBP|GBX|JPY|CAD|CHF|AUD|SEK|Sfr\\.?)|%', '', 'g')"
@@ -114,4 +127,4 @@ UNION ALL SELECT DISTINCT 'quality_source_exceptions', observation_id, 'printed_
 UNION ALL SELECT DISTINCT 'quality_source_exceptions', observation_id, 'printed_value', 'bps', {half("v*CASE WHEN p LIKE '%bps%' THEN 1 WHEN p LIKE '%\\%%' ESCAPE '\\' THEN 100 WHEN note LIKE '%decimal fraction%' THEN 10000 ELSE 100 END")} FROM z WHERE field='reported_irr'"""
 
 
-SQL = {"p1_found": P1_FOUND, "p1_hierarchies": P1_HIERARCHIES, "p4_found": _p4(), "p6_found": _p6(), "p7_found": _p7()}
+SQL = {"p1_found": P1_FOUND, "p1_hierarchies": P1_HIERARCHIES, "p1_descendants": P1_DESCENDANTS, "p1_hierarchies_whole": P1_HIERARCHIES_WHOLE, "p4_found": _p4(), "p6_found": _p6(), "p7_found": _p7()}

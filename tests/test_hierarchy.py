@@ -47,3 +47,23 @@ def test_repeats_nulls_and_empty(spark):
     assert rows(hierarchy.resolve(hierarchy.links(spark.createDataFrame([], schema), "h", "id", "up"))) == {}
     both = hierarchy.links(spark.createDataFrame([("k", "p")], schema), "h", "id", "up", parents_are_nodes=True)
     assert rows(hierarchy.resolve(both)) == {("h", "k"): ("p", 1), ("h", "p"): ("p", 0)}
+
+
+def test_lineage_on_and_below_cycles(spark):
+    random.seed(5)
+    parents = {"a": None, "b": "a", "c": "b", "s": "s", "t": "s", "u": "t"}
+    parents |= {f"r{i}": f"r{(i + 1) % 37}" for i in range(37)}  # longer than any chain without a cycle
+    parents |= {f"w{i}": f"w{i - 1}" for i in range(1, 21)} | {"w0": "r5"}
+    parents |= {f"n{i}": f"n{random.randrange(40)}" for i in range(40)}
+    links = hierarchy.links(spark.createDataFrame(list(parents.items()), "id string, up string"), "h", "id", "up")
+    want = set()
+    for n in parents:
+        seen, at = [n], parents[n]
+        while at and at not in seen:
+            want.add((at, n, len(seen)))
+            seen.append(at)
+            at = parents[at]
+    for least in (50_000, 3):  # hot parents take the broadcast branch
+        whole = hierarchy.resolve(links, share=0.05, least=least, with_walk=True)
+        got = [(r["ancestor"], r["descendant"], r["distance"]) for r in hierarchy.lineage(whole).collect()]
+        assert sorted(got) == sorted(want)
