@@ -478,9 +478,19 @@ def first_stated(spark, d):
 
 @query("""SELECT l_orderkey, l_linenumber, CASE l_returnflag WHEN 'A' THEN l_extendedprice*1000 WHEN 'N' THEN l_extendedprice ELSE l_extendedprice/100 END AS scaled FROM lineitem WHERE l_shipdate<=TIMESTAMP '1996-06-30'""")
 def scaled_amounts(spark, d):
+    """Amounts by their stated scale, of lines shipped up to mid-1996 only; scaled_lines has all lines."""
+    return _scaled(table(spark, d, "lineitem").filter("l_shipdate <= timestamp '1996-06-30'"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, CASE l_returnflag WHEN 'A' THEN l_extendedprice*1000 WHEN 'N' THEN l_extendedprice ELSE l_extendedprice/100 END AS scaled FROM lineitem""")
+def scaled_lines(spark, d):
+    """Amounts of all lines by their stated scale."""
+    return _scaled(table(spark, d, "lineitem"))
+
+
+def _scaled(lines: DataFrame) -> DataFrame:
     v = F.col("l_extendedprice")
-    return table(spark, d, "lineitem").filter("l_shipdate <= timestamp '1996-06-30'").select(
-        "l_orderkey", "l_linenumber", F.when(F.col("l_returnflag") == "A", v * 1000).when(F.col("l_returnflag") == "N", v).otherwise(v / 100).alias("scaled"))
+    return lines.select("l_orderkey", "l_linenumber", F.when(F.col("l_returnflag") == "A", v * 1000).when(F.col("l_returnflag") == "N", v).otherwise(v / 100).alias("scaled"))
 
 
 @query("""SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey=c_custkey AND o_totalprice<5000)""")
