@@ -550,14 +550,14 @@ _VECTOR_SQL = (
 
 @query(f"WITH {_BM25_SQL} SELECT doc_id, ROUND(score,6) AS score FROM k ORDER BY ROUND(k.score,9) DESC, doc_id LIMIT 20")
 def bm25_top(spark, d):
-    """The 20 best documents for three query words; the limit is the report."""
+    """The 20 best documents for three query words; the limit is the report. bm25_top_each has all queries."""
     scored = retrieval.bm25(table(spark, d, "documents"), "doc_id", "text", _TERMS).withColumn("s", F.round("score", 9))
     return retrieval.top(scored, "s", "doc_id", 20).select("doc_id", F.round("score", 6).alias("score"))
 
 
 @query(f"WITH {_VECTOR_SQL} SELECT doc_id AS vec_id, ROUND(score,5) AS score FROM v ORDER BY ROUND(v.score,9) DESC, doc_id LIMIT 20")
 def vector_top(spark, d):
-    """The 20 nearest vectors to one; the limit is the report."""
+    """The 20 nearest vectors to one; the limit is the report. vector_top_each has all queries."""
     return retrieval.top(_nearest(spark, d), "s", "vec_id", 20).select("vec_id", F.round("score", 5).alias("score"))
 
 
@@ -570,12 +570,53 @@ def _nearest(spark, d):
 @query(f"""WITH {_BM25_SQL}, {_VECTOR_SQL}, a AS (SELECT doc_id, ROW_NUMBER() OVER (ORDER BY ROUND(score,9) DESC, doc_id) AS r FROM k), b AS (SELECT doc_id, ROW_NUMBER() OVER (ORDER BY ROUND(score,9) DESC, doc_id) AS r FROM v),
  u AS (SELECT doc_id, 1.0/(60+r) AS s FROM a WHERE r<=50 UNION ALL SELECT doc_id, 0.7/(60+r) FROM b WHERE r<=50) SELECT doc_id, ROUND(SUM(s),8) AS score FROM u GROUP BY 1""")
 def hybrid_retrieval(spark, d):
-    """Keyword and vector top lists fused by reciprocal ranks with weights 1.0 and 0.7."""
+    """Keyword and vector top lists of one query fused by reciprocal ranks with weights 1.0 and 0.7. hybrid_retrieval_each has all queries."""
     words = retrieval.top(retrieval.bm25(table(spark, d, "documents"), "doc_id", "text", _TERMS).withColumn("s", F.round("score", 9)), "s", "doc_id", 50)
     near = retrieval.top(_nearest(spark, d), "s", "vec_id", 50).withColumnRenamed("vec_id", "doc_id")
     return retrieval.fuse([(words, 1.0), (near, 0.7)], "doc_id").select("doc_id", F.round("score", 8).alias("score"))
 
 
+#: Searches: every row whose id is divisible by 100 against all rows.
+_ASKED = "{} % 100 = 0"
+_BM25_EACH_SQL = """t AS (SELECT doc_id, regexp_extract_all(lower(COALESCE(text,'')), '[a-z0-9]+') AS w FROM documents),
+s AS (SELECT COUNT(*) AS n, AVG(len(w)) AS a FROM t), c AS (SELECT doc_id, len(w) AS l, unnest(w) AS term FROM t),
+p AS (SELECT doc_id, term, l, COUNT(*)*1.0::DOUBLE AS tf FROM c GROUP BY 1,2,3), f AS (SELECT term, COUNT(*) AS df FROM p GROUP BY 1),
+k AS (SELECT q.doc_id AS query_id, p.doc_id, SUM(ln(1+(n-df+0.5)/(df+0.5))*p.tf*2.2/(p.tf+1.2*(0.25+0.75*p.l/a))) AS score FROM p q JOIN p USING (term) JOIN f USING (term), s WHERE q.doc_id%100=0 GROUP BY 1,2)"""
+_VECTOR_EACH_SQL = (
+    "v AS (SELECT q.vec_id AS query_id, e.vec_id AS doc_id, " + _DOT.format(a="e.embedding", b="q.embedding") + "/sqrt(" + _DOT.format(a="e.embedding", b="e.embedding") + "*"
+    + _DOT.format(a="q.embedding", b="q.embedding") + ") AS score FROM embeddings q, embeddings e WHERE q.vec_id%100=0)"
+)
+_RANK_EACH = "ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY ROUND(score,9) DESC, doc_id) AS r"
+
+
+@query(f"WITH {_BM25_EACH_SQL} SELECT query_id, doc_id, ROUND(score,6) AS score FROM (SELECT *, {_RANK_EACH} FROM k) WHERE r<=20")
+def bm25_top_each(spark, d):
+    """The 20 best documents for the words of every hundredth one."""
+    return _words_each(spark, d, 20).select("query_id", "doc_id", F.round("score", 6).alias("score"))
+
+
+@query(f"WITH {_VECTOR_EACH_SQL} SELECT query_id, doc_id AS vec_id, ROUND(score,5) AS score FROM (SELECT *, {_RANK_EACH} FROM v) WHERE r<=20")
+def vector_top_each(spark, d):
+    """The 20 nearest vectors to every hundredth one."""
+    return _near_each(spark, d, 20).select("query_id", "vec_id", F.round("score", 5).alias("score"))
+
+
+@query(f"""WITH {_BM25_EACH_SQL}, {_VECTOR_EACH_SQL}, a AS (SELECT query_id, doc_id, {_RANK_EACH} FROM k), b AS (SELECT query_id, doc_id, {_RANK_EACH} FROM v),
+ u AS (SELECT query_id, doc_id, 1.0/(60+r) AS s FROM a WHERE r<=50 UNION ALL SELECT query_id, doc_id, 0.7/(60+r) FROM b WHERE r<=50) SELECT query_id, doc_id, ROUND(SUM(s),8) AS score FROM u GROUP BY 1,2""")
+def hybrid_retrieval_each(spark, d):
+    """Keyword and vector top lists of every hundredth id fused by reciprocal ranks with weights 1.0 and 0.7."""
+    near = _near_each(spark, d, 50).withColumnRenamed("vec_id", "doc_id")
+    return retrieval.fuse([(_words_each(spark, d, 50), 1.0), (near, 0.7)], "query_id", "doc_id").select("query_id", "doc_id", F.round("score", 8).alias("score"))
+
+
+def _words_each(spark, d, n):
+    return retrieval.bm25_each(table(spark, d, "documents"), "doc_id", "text", _ASKED.format("doc_id"), n)
+
+
+def _near_each(spark, d, n):
+    return retrieval.nearest_each(table(spark, d, "embeddings"), "vec_id", "embedding", _ASKED.format("vec_id"), n)
+
+
 # ---------------------------------------------------- profiles, aliases, clusters
 
 

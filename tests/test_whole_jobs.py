@@ -1,5 +1,6 @@
 """Queries that cover every row they are about."""
 
+from fundloom.operators import retrieval
 from fundloom.plans import registry
 from fundloom.sources.tables import table
 
@@ -10,3 +11,19 @@ def test_every_line_is_scaled(spark):
     lines = table(spark, DIR, "lineitem")
     got = registry.queries()["scaled_lines"](spark, DIR)
     assert got.count() == lines.count() > lines.filter("l_shipdate <= timestamp '1996-06-30'").count()
+
+
+def test_every_hundredth_row_is_searched(spark):
+    for name, of, key, n in (("vector_top_each", "embeddings", "vec_id", 20), ("bm25_top_each", "documents", "doc_id", 20)):
+        asked = {r[0] for r in table(spark, DIR, of).filter(f"{key} % 100 = 0").select(key).collect()}
+        found = [(r["query_id"], r[key]) for r in registry.queries()[name](spark, DIR).collect()]
+        assert {q for q, _ in found} == asked and {(q, q) for q in asked} <= set(found)
+        assert all(len([1 for q, _ in found if q == a]) <= n for a in asked)
+
+
+def test_blocks_do_not_change_what_is_found(spark, monkeypatch):
+    run = lambda: {name: sorted(map(tuple, registry.queries()[name](spark, DIR).collect())) for name in ("vector_top_each", "bm25_top_each")}
+    whole = run()
+    monkeypatch.setattr(retrieval, "ROW_BLOCK", 37)
+    monkeypatch.setattr(retrieval, "QUERY_BLOCK", 2)
+    assert run() == whole
