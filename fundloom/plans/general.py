@@ -11,6 +11,7 @@ from fundloom.functions.text import match_key, squeeze, without_blanks
 from fundloom.functions.units import currency_code, scale_of, unit_code, unit_words
 from fundloom.operators import copies, eav, hierarchy, timestamps, zones
 from fundloom.operators import units as units_op
+from fundloom.operators.skew import hot_keys, join_unique
 from fundloom.sources.tables import table
 
 # ---------------------------------------------------------------- 1 hierarchies
@@ -238,7 +239,7 @@ def measured(spark: SparkSession, d: str) -> DataFrame:
     """Every recorded quantity as one row: (record_table, record_id, field_name, device, at, amount, stated, family, unit_text, given).
 
     ``stated`` is the unit that the record or its text prints, ``family`` its
-    dimension, ``amount`` the printed number.
+    dimension, or that of the device's other quantities, ``amount`` the printed number.
     """
     units, _ = _sizes(spark, d)
     n18 = "decimal(18,6)"
@@ -256,6 +257,12 @@ def measured(spark: SparkSession, d: str) -> DataFrame:
         F.concat_ws("/", "owner_id", "instrument_id").alias("device"), F.col("report_date").alias("at"), "amount", "stated", "family",
         F.col("stated").isNotNull().alias("counts"),
     )
+    # an unstated quantity has the dimension that most stated ones of its device have, ties by name
+    usual = quantities.filter("family is not null").groupBy("device", "family").agg(F.count(F.lit(1)).alias("n")).groupBy("device").agg(
+        F.min(F.struct(-F.col("n"), "family"))["family"].alias("family")
+    )
+    bare = quantities.filter("family is null").drop("family")
+    quantities = quantities.filter("family is not null").unionByName(join_unique(bare, usual, ["device"], "left", hot_keys(bare, ["device"])))
     money = lambda code, scale: F.when(code.isNotNull(), F.concat_ws("*", code, scale.cast("string")))
     values = position.filter("fair_value is not null").select(
         F.lit("fund_position").alias("record_table"), F.col("position_id").alias("record_id"), F.lit("fair_value").alias("field_name"),

@@ -3,6 +3,7 @@
 from fundloom.operators import retrieval
 from fundloom.plans import registry
 from fundloom.sources.tables import table
+from pyspark.sql import functions as F
 
 DIR = "/root/testdata/sf0.001"
 
@@ -27,3 +28,17 @@ def test_blocks_do_not_change_what_is_found(spark, monkeypatch):
     monkeypatch.setattr(retrieval, "ROW_BLOCK", 37)
     monkeypatch.setattr(retrieval, "QUERY_BLOCK", 2)
     assert run() == whole
+
+
+def test_quantities_without_a_unit_are_decoded(spark, tmp_path):
+    for name in ("unit_reference", "currency_reference", "investment_instrument", "quality_source_exceptions"):
+        (tmp_path / f"{name}.parquet").symlink_to(f"{DIR}/{name}.parquet")
+    some = table(spark, DIR, "fund_position").limit(1)
+    columns = {"owner_id": F.lit("o"), "instrument_id": F.lit("i"), "fair_value": F.lit(None).cast(some.schema["fair_value"].dataType)}
+    made = None
+    for i, (amount, unit) in enumerate([("1000", "shares"), ("1010", None), ("1020", "shares"), ("990", "shares")]):
+        row = some.withColumns(columns | {"position_id": F.lit(f"p{i}"), "quantity_raw": F.lit(amount), "quantity_unit": F.lit(unit).cast("string"), "report_date": F.lit(f"2020-0{i + 1}-01").cast(some.schema["report_date"].dataType)})
+        made = row if made is None else made.unionByName(row)
+    made.write.parquet(str(tmp_path / "fund_position.parquet"))
+    rows = registry.queries()["p4_units"](spark, str(tmp_path)).filter("field_name = 'quantity'").collect()
+    assert {r["record_id"]: (r["unit"], r["base_value"]) for r in rows}["p1"] == ("share", 1010)
