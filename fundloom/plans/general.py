@@ -230,11 +230,6 @@ def _sizes(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def _whole(c):
-    """Rounded to a whole number, halves away from zero."""
-    return F.round(c, 0).cast("bigint")
-
-
 def measured(spark: SparkSession, d: str) -> DataFrame:
     """Every recorded quantity as one row: (record_table, record_id, field_name, device, at, amount, stated, family, unit_text, given).
 
@@ -242,14 +237,14 @@ def measured(spark: SparkSession, d: str) -> DataFrame:
     dimension, or that of the device's other quantities, ``amount`` the printed number.
     """
     units, _ = _sizes(spark, d)
-    n18 = "decimal(18,6)"
+    exact = "decimal(30,10)"
     position = table(spark, d, "fund_position")
     raw = squeeze(F.col("quantity_raw"))
     number = r"^([(\-−–]?[\d,]*\.?\d+\)?) ?(.*)$"
     words = F.regexp_extract(raw, number, 2)
     quantities = position.filter("quantity_raw is not null").select(
         "position_id", "owner_id", "instrument_id", "report_date",
-        printed_number(F.regexp_extract(raw, number, 1), n18).alias("amount"),
+        printed_number(F.regexp_extract(raw, number, 1), exact).alias("amount"),
         unit_words(F.when(words != "", words).otherwise(F.col("quantity_unit"))).alias("words"),
     ).withColumn("stated", unit_code(F.col("words")))
     quantities = quantities.join(F.broadcast(units.select(F.col("unit_code").alias("stated"), F.col("dimension").alias("family"))), "stated", "left").select(
@@ -266,24 +261,26 @@ def measured(spark: SparkSession, d: str) -> DataFrame:
     money = lambda code, scale: F.when(code.isNotNull(), F.concat_ws("*", code, scale.cast("string")))
     values = position.filter("fair_value is not null").select(
         F.lit("fund_position").alias("record_table"), F.col("position_id").alias("record_id"), F.lit("fair_value").alias("field_name"),
-        F.concat_ws("/", "owner_id", "instrument_id").alias("device"), F.col("report_date").alias("at"), F.col("fair_value").try_cast(n18).alias("amount"),
+        F.concat_ws("/", "owner_id", "instrument_id").alias("device"), F.col("report_date").alias("at"), F.col("fair_value").try_cast(exact).alias("amount"),
         money(currency_code(F.col("currency")), scale_of(F.lower("currency"))).alias("stated"), F.lit("money").alias("family"),
         F.col("currency").isNotNull().alias("counts"),
     )
     basis = F.lower(squeeze(F.col("rate_basis_raw")))
-    after = r"(?:\+|plus) ?(\d+(?:\.\d+)?) ?(%|per ?cent|percent|bps?|basis points)?"
-    before = r"^(\d+(?:\.\d+)?) ?(%|per ?cent|percent|bps?|basis points) (?:margin )?(?:over|above)"
+    figure, mark = r"(\d+(?:\.\d+)?)(?: ?(\d+)/(\d+))?", r"(%|per ?cent|percent|bps?|basis points)"
+    after = rf"(?:\+|plus) ?{figure} ?{mark}?"
+    before = rf"^{figure} ?{mark} (?:margin )?(?:over|above)"
     spread = lambda i: F.coalesce(F.nullif(F.regexp_extract(basis, after, i), F.lit("")), F.nullif(F.regexp_extract(basis, before, i), F.lit("")))
+    part = F.coalesce(F.col("over").try_cast("decimal(9,0)") / F.nullif(F.col("under").try_cast("decimal(9,0)"), F.lit(0).cast("decimal(9,0)")), F.lit(0)).cast("decimal(18,6)")
+    bps = F.when(F.col("stated") == "percent", F.col("amount") * 100).otherwise(F.col("amount"))
     spreads = table(spark, d, "investment_instrument").filter("rate_basis_raw is not null").select(
-        "instrument_id", "spread_bps", spread(1).alias("n"), spread(2).alias("u"),
-    ).filter("n is not null").select(
+        "instrument_id", "spread_bps", spread(1).alias("whole"), spread(2).alias("over"), spread(3).alias("under"), spread(4).alias("u"),
+    ).filter("whole is not null").select(
         F.lit("investment_instrument").alias("record_table"), F.col("instrument_id").alias("record_id"), F.lit("spread_bps").alias("field_name"),
-        F.col("instrument_id").alias("device"), F.lit(None).cast("date").alias("at"), F.col("n").try_cast(n18).alias("amount"),
-        F.when(F.col("u").rlike("^(%|per)"), "percent").otherwise("bps").alias("stated"), F.lit("rate").alias("family"),
-        F.when(F.col("u").rlike("^(%|per)"), F.col("n").try_cast("decimal(18,6)") * 100).otherwise(F.col("n").try_cast("decimal(18,6)")).alias("bps"), "spread_bps",
+        F.col("instrument_id").alias("device"), F.lit(None).cast("date").alias("at"), (F.col("whole").try_cast("decimal(18,6)") + part).cast(exact).alias("amount"),
+        # a figure without a mark is left to the model
+        F.when(F.col("u").rlike("^(%|per)"), "percent").when(F.col("u").isNotNull(), "bps").alias("stated"), F.lit("rate").alias("family"), "spread_bps",
     ).select(
-        "record_table", "record_id", "field_name", "device", "at", "amount", "stated", "family",
-        (~F.col("bps").eqNullSafe(F.col("spread_bps"))).alias("counts"),
+        "record_table", "record_id", "field_name", "device", "at", "amount", "stated", "family", F.lit(True).alias("counts"), F.col("spread_bps").cast("decimal(20,6)").alias("recorded"),
     )
     printed = squeeze(F.col("printed_value"))
     shape = r"^(-?[(]?-?)\s*([^\d(),.\-]*)\s*(\(?)\s*([\d,]*\.?\d+)(\)?)\s*(.*)$"
@@ -298,7 +295,7 @@ def measured(spark: SparkSession, d: str) -> DataFrame:
         (F.translate("p", "−–", "--").startswith("-") | F.col("p").contains("(")).alias("negative"), heading.alias("heading"), told.alias("told"), note_scale.alias("note_scale"),
     )
     sign = F.when(F.col("negative"), F.lit(-1)).otherwise(F.lit(1))
-    amount = (printed_number(F.col("digits"), n18) * sign).cast(n18)
+    amount = (printed_number(F.col("digits"), exact) * sign).cast(exact)
     rate_unit = (
         F.when(F.col("tail").rlike(r"bps?|basis"), "bps").when(F.col("tail").rlike("%|per ?cent"), "percent")
         .when(F.col("note").rlike("(?i)decimal fraction"), "fraction").when(F.col("note").rlike("(?i)percent"), "percent")
@@ -315,32 +312,56 @@ def measured(spark: SparkSession, d: str) -> DataFrame:
         F.when(is_rate, rate_unit).otherwise(money(code, scale)).alias("stated"), F.when(is_rate, "rate").otherwise("money").alias("family"),
         F.lit(True).alias("counts"),
     )
-    return quantities.unionByName(values).unionByName(spreads).unionByName(exceptions).filter("amount is not null")
+    return quantities.unionByName(values).unionByName(exceptions).unionByName(spreads, allowMissingColumns=True).filter("amount is not null")
 
 
 def p4_units(spark: SparkSession, d: str) -> DataFrame:
-    """Every quantity in base units, with the unit it was recorded in, stated or decoded."""
-    rows = units_op.decode(measured(spark, d), ["record_table", "field_name", "device"], ["at"], "amount", "stated", unit_families(spark, d), "family")
+    """Every quantity in base units, with the unit it was recorded in, as decoded from its text and its level.
+
+    ``unit_stated`` tells whether the text names a unit; a base value beyond a bigint is null.
+    """
+    return _in_base_units(spark, d, measured(spark, d))
+
+
+def _in_base_units(spark: SparkSession, d: str, rows: DataFrame) -> DataFrame:
+    rows = units_op.decode(rows, ["record_table", "field_name", "device"], ["at"], "amount", "stated", unit_families(spark, d), "family", series=("record_table", "field_name"))
     units, rates = _sizes(spark, d)
     wide = rows.join(F.broadcast(units.withColumnRenamed("unit_code", "unit").drop("dimension")), "unit", "left").withColumns({
         "currency_code": F.when(F.col("family") == "money", F.substring_index("unit", "*", 1)),
         "scale": F.when(F.col("family") == "money", F.substring_index("unit", "*", -1).try_cast("decimal(7,0)")),
     }).join(F.broadcast(rates), "currency_code", "left")
     rate_size = F.when(F.col("unit") == "bps", 1).when(F.col("unit") == "percent", 100).when(F.col("unit") == "fraction", 10_000)
-    value = (
-        F.when(F.col("family") == "money", F.try_multiply(F.col("amount"), (F.col("rate") * F.col("scale")).cast("decimal(20,8)")))
-        .when(F.col("family") == "rate", F.try_multiply(F.col("amount"), rate_size.cast("decimal(20,8)")))
+    size = (
+        F.when(F.col("family") == "money", (F.col("rate") * F.col("scale")).cast("decimal(20,8)").cast("decimal(26,12)"))
+        .when(F.col("family") == "rate", rate_size.cast("decimal(26,12)")).otherwise(F.col("size").cast("decimal(26,12)"))
+    )
+    # exact where the amount fits 18 digits, else as exact as 38 digits allow
+    narrow = F.col("amount").try_cast("decimal(18,6)")
+    product = F.coalesce(
+        F.when(narrow == F.col("amount"), F.try_multiply(narrow, F.when(size < 10_000_000, size).cast("decimal(19,12)"))).cast("decimal(38,8)"),
+        F.try_multiply(F.col("amount"), size).try_cast("decimal(38,8)"),
     )
-    in_units = F.try_multiply(F.col("amount"), F.col("size"))
     base = F.when(F.col("family") == "money", "USD").when(F.col("family") == "rate", "bps").otherwise(F.col("base_unit"))
     return wide.select(
-        "record_table", "record_id", "field_name", base.alias("base_unit"), F.coalesce(_whole(value), _whole(in_units)).alias("base_value"),
-        "unit", F.col("stated").isNotNull().alias("unit_stated"), "counts",
+        "record_table", "record_id", "field_name", base.alias("base_unit"), F.round(product, 0).try_cast("bigint").alias("base_value"),
+        "unit", F.col("stated").isNotNull().alias("unit_stated"),
+        (F.col("counts") & ~F.coalesce((F.col("field_name") == "spread_bps") & (product == F.col("recorded")), F.lit(False))).alias("counts"),
     )
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     plain = F.col("unit") == F.when(F.col("field_name") == "quantity", F.col("base_unit")).when(F.col("field_name") == "fair_value", "USD*1").otherwise("")
-    return p4_units(spark, d).filter(F.col("unit_stated") & F.col("counts") & ~plain & F.col("base_value").isNotNull()).select(
+    return p4_units(spark, d).filter(F.col("counts") & ~plain & F.col("base_value").isNotNull()).select(
         "record_table", "record_id", "field_name", "base_unit", "base_value"
     ).distinct()
+
+
+def p4_unit_holdout(spark: SparkSession, d: str) -> DataFrame:
+    """(record_table, field_name, family, hidden, right): stated units hidden from the model in every fifth record, and how many come out as stated."""
+    rows = measured(spark, d).withColumn("true_unit", F.col("stated"))
+    hidden = F.pmod(F.xxhash64(F.lit("holdout"), "record_id"), F.lit(5)) == 0
+    rows = rows.withColumn("stated", F.when(~hidden, F.col("stated")))
+    decoded = units_op.decode(rows, ["record_table", "field_name", "device"], ["at"], "amount", "stated", unit_families(spark, d), "family", series=("record_table", "field_name"))
+    return decoded.filter(F.col("stated").isNull() & F.col("true_unit").isNotNull()).groupBy("record_table", "field_name", "family").agg(
+        F.count(F.lit(1)).alias("hidden"), F.count_if(F.col("unit") == F.col("true_unit")).alias("right")
+    )

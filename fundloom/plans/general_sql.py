@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from fundloom.functions.units import CURRENCY_NAMES, UNIT_NAMES
-
 _LINKS = """links AS (
  SELECT 'investment_owner' AS h, owner_id AS n, CASE WHEN trim(parent_owner_id)<>'' THEN parent_owner_id END AS p FROM investment_owner
  UNION ALL SELECT 'investment_target', target_id, CASE WHEN trim(parent_target_id)<>'' THEN parent_target_id END FROM investment_target
@@ -98,26 +96,40 @@ SELECT document_id, source_table, row_label AS source_row_label, metric AS metri
 FROM t WHERE cell_text IS NOT NULL GROUP BY 1,2,3,4"""
 
 
+#: Spellings of units and currencies as patterns, independent of the engine's tables.
+_UNIT_PATTERNS = {
+    "m2": "m2|m²|sq ?m|square met(re|er)s?", "sq_ft": "sq ?ft|sf|square (feet|foot)", "acre": "ac|acres?", "hectare": "ha|hectares?",
+    "kwh": "kwh|kilowatt.hours?", "mwh": "mwh|megawatt.hours?", "gwh": "gwh|gigawatt.hours?", "kg": "kgs?|kilograms?", "lb": "lbs?|pounds?( weight)?",
+    "tonne": "t|mt|tonnes?|metric tons?", "troy_oz": "troy oz|oz ?t|troy ounces?", "m3": "m3|m³|cbm|cubic met(re|er)s?", "bbl": "bbls?|barrels?",
+    "us_gallon": "(us )?gal|(us )?gallons?|gallons? \\(us\\)",
+}
+_CURRENCY_PATTERNS = {
+    "USD": "usd|us\\$|us dollars?|\\$", "EUR": "eur|euros?|€", "GBP": "gbp|£|pounds? sterling", "GBX": "gbx|pence( sterling)?", "JPY": "jpy|¥|(japanese )?yen",
+    "CAD": "cad|ca?\\$|canadian dollars?", "CHF": "chf|sfr|swiss francs?", "AUD": "aud|au?\\$|australian dollars?", "SEK": "sek|swedish kron(or|a)",
+}
+
+
 def _p4() -> str:
-    values = lambda names: ", ".join(f"('{s}', '{code}')" for code, spelled in names.items() for s in spelled)
-    million, thousand = "\\(?\\b(?:in )?(?:millions?|mn|mm|m)\\b\\)?", "\\(?\\b(?:in )?(?:thousands?|000s?|k)\\b\\)?"
     squeeze = lambda c: f"trim(regexp_replace({c}, '\\s+', ' ', 'g'))"
+    million, thousand = "(^|[ (])(in )?(millions?|mn|mm|m)\\b\\)?", "(^|[ (])(in )?(thousands?|000s?|k)\\b\\)?"
     scale = lambda c: f"CASE WHEN regexp_matches({c}, '{million}') THEN 1000000 WHEN regexp_matches({c}, '{thousand}') THEN 1000 ELSE 1 END"
     bare = lambda c: squeeze(f"regexp_replace(regexp_replace({c}, '{million}', ' ', 'g'), '{thousand}', ' ', 'g')")
-    currency = lambda c: f"CASE WHEN regexp_matches({squeeze(c)}, '^GBp\\b') THEN 'GBX' ELSE (SELECT code FROM cn WHERE spelled=translate({bare(f'lower({squeeze(c)})')}, '.', '')) END"
+    choose = lambda c, patterns: "CASE " + " ".join(f"WHEN regexp_full_match({c}, '{p}') THEN '{code}'" for code, p in patterns.items()) + " END"
+    currency = lambda c: f"CASE WHEN regexp_matches(trim({c}), '^GBp\\b') THEN 'GBX' ELSE {choose(f'translate({bare(f'lower({c})')}, chr(46), chr(32))', _CURRENCY_PATTERNS)} END".replace("chr(46), chr(32)", "'.', ''")
     digits = "replace(regexp_extract({c}, '([0-9][0-9,]*\\.?[0-9]*|\\.[0-9]+)', 1), ',', '')"
     half = lambda x: f"CAST(sign({x})*floor(abs({x})+0.5) AS BIGINT)"
-    return f"""WITH un(spelled, code) AS (VALUES {values(UNIT_NAMES)}), cn(spelled, code) AS (VALUES {values(CURRENCY_NAMES)}),
-q AS (SELECT position_id, {digits.format(c='quantity_raw')} AS n, {squeeze("lower(translate(CASE WHEN regexp_extract(trim(quantity_raw),'^[0-9,.]+ ?(.*)$',1)<>'' THEN regexp_extract(trim(quantity_raw),'^[0-9,.]+ ?(.*)$',1) ELSE quantity_unit END, '_.', ' '))")} AS w FROM fund_position WHERE quantity_raw IS NOT NULL),
-qu AS (SELECT q.*, COALESCE(un.code, CASE WHEN sh.code='share' THEN CASE {scale('w')} WHEN 1000000 THEN 'million_share' WHEN 1000 THEN 'thousand_share' ELSE 'share' END END) AS unit
- FROM q LEFT JOIN un ON un.spelled=w LEFT JOIN un sh ON sh.spelled={bare('w')}),
+    tail = "regexp_extract(trim(quantity_raw),'^[0-9,.]+ ?(.*)$',1)"
+    figure = "([0-9]+(?:\\.[0-9]+)?)(?: ([0-9]+)/([0-9]+))?"
+    mark = "(%|per ?cent|bps?|basis points)"
+    pick = lambda i: f"COALESCE(NULLIF(regexp_extract(lower(rate_basis_raw), '(?:\\+|plus) ?{figure} ?{mark}?', {i}),''), NULLIF(regexp_extract(lower(rate_basis_raw), '^{figure} ?{mark} (?:margin )?(?:over|above)', {i}),''))"
+    return f"""WITH q AS (SELECT position_id, {digits.format(c='quantity_raw')} AS n, {squeeze(f"lower(translate(CASE WHEN {tail}<>'' THEN {tail} ELSE quantity_unit END, '_.', ' '))")} AS w FROM fund_position WHERE quantity_raw IS NOT NULL),
+qu AS (SELECT q.*, CASE WHEN regexp_full_match({bare('w')}, 'shs?|shares?') THEN CASE {scale('w')} WHEN 1000000 THEN 'million_share' WHEN 1000 THEN 'thousand_share' ELSE 'share' END ELSE {choose('w', _UNIT_PATTERNS)} END AS unit FROM q),
 fv AS (SELECT position_id, CAST(fair_value AS DECIMAL(18,6)) AS v, {currency('currency')} AS code, {scale('lower(currency)')} AS s FROM fund_position WHERE fair_value IS NOT NULL AND currency IS NOT NULL),
-sp AS (SELECT instrument_id, spread_bps, COALESCE(NULLIF(regexp_extract(lower(rate_basis_raw), '(?:\\+|plus) ?([0-9]+(?:\\.[0-9]+)?)', 1),''), NULLIF(regexp_extract(lower(rate_basis_raw), '^([0-9]+(?:\\.[0-9]+)?) ?(?:%|basis points) (?:margin )?(?:over|above)', 1),'')) AS n,
- regexp_matches(lower(rate_basis_raw), '(?:\\+|plus) ?[0-9.]+ ?(?:%|per cent)|^[0-9.]+% ') AS pct FROM investment_instrument),
-sb AS (SELECT instrument_id, spread_bps, CAST(n AS DECIMAL(18,6))*CASE WHEN pct THEN 100 ELSE 1 END AS bps FROM sp WHERE n IS NOT NULL),
+sp AS (SELECT instrument_id, spread_bps, {pick(1)} AS n, {pick(2)} AS over_, {pick(3)} AS under_, {pick(4)} AS m FROM investment_instrument),
+sb AS (SELECT instrument_id, spread_bps, (CAST(n AS DECIMAL(18,6))+COALESCE(CAST(CAST(over_ AS DOUBLE)/CAST(under_ AS DOUBLE) AS DECIMAL(18,6)),0))*CASE WHEN m LIKE '\\%%' ESCAPE '\\' OR m LIKE 'per%' THEN 100 ELSE 1 END AS bps FROM sp WHERE n IS NOT NULL),
 x AS (SELECT observation_id, field, trim(printed_value) AS p, COALESCE(note,'') AS note FROM quality_source_exceptions WHERE regexp_matches(printed_value, '[0-9]')),
 y AS (SELECT *, CAST({digits.format(c='p')} AS DECIMAL(18,6))*CASE WHEN p LIKE '%(%' OR p LIKE '-%' OR p LIKE '−%' THEN -1 ELSE 1 END AS v,
- COALESCE(NULLIF(regexp_extract(p, '^[-(−]*([A-Z]{{1,3}}\\$|US\\$|[$€£¥]|[A-Z]{{3}})', 1),''), NULLIF(regexp_extract(note, '\\((\\S+) in \\w+\\)', 1),''), 'USD') AS mark,
+ COALESCE(NULLIF(regexp_extract(p, '^[-(−]*([A-Z]{{1,3}}\\$|US\\$|[$€£¥]|[A-Z]{{3}})', 1),''), NULLIF(regexp_extract(note, '\\((\\S+) in \\w+\\)', 1),''), NULLIF(regexp_extract(note, 'prints (?:negative )?\\w+ in ([A-Z]{{3}})', 1),''), 'USD') AS mark,
  lower(regexp_extract(p, '[0-9)]\\s*([a-zA-Z ]*)$', 1))||' '||lower(regexp_extract(note, '\\(\\S+ in (\\w+)\\)', 1))||' '||lower(regexp_extract(note, 'prints (?:negative )?\\w+ in [A-Z]{{3}} (\\w+)', 1)) AS words FROM x),
 z AS (SELECT observation_id, field, v, p, note, {currency('mark')} AS code, {scale('words')} AS s FROM y)
 SELECT DISTINCT 'fund_position' AS record_table, position_id AS record_id, 'quantity' AS field_name, base_unit, {half('CAST(n AS DECIMAL(18,6))*CAST(to_base AS DECIMAL(19,12))')} AS base_value FROM qu JOIN unit_reference ON unit_code=unit WHERE unit<>base_unit
