@@ -48,11 +48,11 @@ from pyspark.sql import functions as F
 from fundloom.session import checkpoint
 
 #: Chance that a stated unit is wrong; jump and switch chance where nothing is measured; records that such a default counts as.
-MISSTATED, JUMP, SWITCH, PSEUDO = 1e-4, 0.35, 0.05, 20.0
+MISSTATED, JUMP, SWITCH, PSEUDO = 1e-4, 0.35, 0.05, 5.0
 #: Records that the jumps of a series count as beside those of a device.
 DEVICE_PSEUDO = 8.0
 #: Levels have heavy tails: a jump counts no more than this, a first level half of it. So neither overrules a stated unit alone; a spike, two jumps, does.
-TAIL = 12.0
+TAIL = 16.0
 #: Width and number of the bins in which jumps are counted.
 BIN, BINS = 0.05, 1_000
 
