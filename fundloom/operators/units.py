@@ -18,12 +18,12 @@ and q on all neighbouring stated records; the smoothness of a device is that of
 its series corrected by its own jumps. Where levels carry no information about
 units the measured r and spread say so and the text decides alone.
 
-Records are range-partitioned by (device, order). Each partition decodes the
-devices that lie within it; of a device that crosses partitions each reduces its
-stretch to one max-plus matrix (best score by first and last state), the
-matrices are chained to fix the states at the seams, and the stretches are
-decoded between known seams. A device of any share of the rows is so spread over
-all partitions, and the path is still the exact optimum.
+Devices are hashed to partitions, which sort and decode them; a device too large
+for one is range-partitioned along its order, and each partition reduces its stretch
+to one max-plus matrix (best score by first and last state). The matrices are
+chained to fix the states at the seams, and the stretches are decoded between
+known seams. A device of any share of the rows is so spread over all partitions,
+and the path is still the exact optimum.
 
 Defined results:
 * a null, zero or non-finite value, or one of no known family, carries no level:
@@ -45,6 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fundloom.operators.skew import hot_keys, matches
 from fundloom.session import checkpoint
 
 #: Chance that a stated unit is wrong; jump and switch chance where nothing is measured; records that such a default counts as.
@@ -98,8 +99,8 @@ class Model:
             moved, width = off[1:, None, :] - r * off[:-1, :, None], self.spread * math.sqrt(1 - r * r)
         return turn[None] - np.minimum(0.5 * (moved / width) ** 2, TAIL)
 
-    def own_jump(self, total: float, n: int) -> float:
-        """The jump of a device by its own ``n`` measured ones, of which ``total`` is the sum of squares."""
+    def own_jump(self, n: int, total: float) -> float:
+        """The jump of a device by its own ``n`` measured ones of the squared spread ``total`` / ``n``."""
         return math.sqrt((DEVICE_PSEUDO * self.jump**2 + total) / (DEVICE_PSEUDO + n))
 
 
@@ -138,6 +139,13 @@ def _jumps(model: Model, logv: np.ndarray, stated: np.ndarray) -> np.ndarray:
     return np.diff(level)
 
 
+def _spread_of_jumps(model: Model, logv: np.ndarray, stated: np.ndarray) -> tuple[int, float]:
+    """(number of measured jumps of a stretch, that times their squared robust spread)."""
+    jumps = _jumps(model, logv, stated)
+    jumps = np.abs(jumps[~np.isnan(jumps)])
+    return len(jumps), float(len(jumps) * (np.median(jumps) / 0.6745) ** 2) if len(jumps) else 0.0
+
+
 def models(chain: DataFrame, names: dict[str, list[str]], logs: dict[str, np.ndarray], misstated: float) -> dict[str, Model]:
     """The series of ``chain`` with what their stated records tell of levels and shares; jumps are not measured yet."""
     level = F.when(F.col("__s") >= 0, F.col("__v") + F.element_at(F.lit([[float(x) for x in logs[f]] for f in names]), F.col("__f") + 1)[F.greatest("__s", F.lit(0))])
@@ -172,18 +180,25 @@ def decode(
     size = F.abs(F.col(value).cast("double"))
     known = F.try_element_at(F.create_map(*[x for i, f in enumerate(names) for x in (F.lit(f), F.lit(i))]), F.col(family))
     usable = F.coalesce((size > 0) & (size < float("inf")) & known.isNotNull(), F.lit(False))
-    settled = df.filter(~usable).withColumn(out, F.col(stated).cast("string")).select(*df.columns, out)
     index = F.create_map(*[x for f, us in names.items() for i, u in enumerate(us) for x in (F.lit(f"{f}|{u}"), F.lit(i))])
     keys = [*device, family]
     text = [F.coalesce(F.col(k).cast("string"), F.lit("\x00")) for k in keys]
-    chain = df.filter(usable).withColumns({
-        "__v": F.log(size), "__s": F.when(F.col(stated).isNull(), -1).otherwise(F.coalesce(F.try_element_at(index, F.concat_ws("|", family, stated)), F.lit(-1))),
-        "__f": known, "__d": F.xxhash64(*text), "__e": F.xxhash64(F.lit(1), *text), "__series": F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in series], known.cast("string")),
+    tagged = df.withColumns({
+        "__usable": usable, "__v": F.log(size), "__f": known, "__d": F.xxhash64(*text), "__e": F.xxhash64(F.lit(1), *text),
+        "__s": F.when(F.col(stated).isNull(), -1).otherwise(F.coalesce(F.try_element_at(index, F.concat_ws("|", family, stated)), F.lit(-1))),
+        "__series": F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in series], known.cast("string")),
         "__tie": F.xxhash64(*[F.col(c) for c in df.columns]),  # records of one moment come in a fixed order
     })
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes, long computing: not to be coalesced
     by = ("__d", "__e", *order, "__tie")
-    ordered = checkpoint(chain.repartitionByRange(parts, *by).sortWithinPartitions(*by).drop("__tie").withColumn("__part", F.spark_partition_id()))
+    # devices are whole in a hash partition; only those too large for one are cut along their order
+    large = hot_keys(df.filter(F.col(value).isNotNull()).select(*device), list(device), share=1 / (2 * parts)) if parts > 1 else []
+    cut = matches(list(device), large)
+    laid = [tagged.filter(~cut).repartition(parts, "__d"), tagged.filter(cut).repartitionByRange(parts, *by)] if large else [tagged.repartition(parts, "__d")]
+    sorted_ = [x.sortWithinPartitions(*by).drop("__tie").withColumn("__part", F.spark_partition_id() + i * parts) for i, x in enumerate(laid)]
+    everything = checkpoint(sorted_[0].unionByName(sorted_[1]) if large else sorted_[0])
+    settled = everything.filter("not __usable").withColumn(out, F.col(stated).cast("string")).select(*df.columns, out)
+    ordered = everything.filter("__usable")
     known_models = models(ordered, names, logs, misstated)
     if not known_models:
         return settled
@@ -211,9 +226,7 @@ def decode(
                 continue
             model, x, st = known_models[kinds[a]], v[a: a + n], s[a: a + n]
             end = ends.get((part[a], *ids(a)), (None, None))
-            jumps = _jumps(model, x, st)
-            jumps = jumps[~np.isnan(jumps)]
-            jump = own.get(ids(a)) or model.own_jump(float((jumps**2).sum()), len(jumps))
+            jump = own.get(ids(a)) or model.own_jump(*_spread_of_jumps(model, x, st))
             found[a: a + n] = [listed[f[a]][i] for i in viterbi(model, x, st, jump, *end)]
         return pa.array(found, pa.string())
 
@@ -286,9 +299,7 @@ def _measured(ordered: DataFrame, known: dict[str, Model]) -> tuple[dict[str, Mo
             level = lambda i: (float(v[i] + known[kinds[i]].logs[s[i]]) if s[i] >= 0 else None, int(s[i]))
 
             def device(a: int, b: int) -> tuple:
-                jumps = _jumps(known[kinds[a]], v[a:b], s[a:b])
-                jumps = jumps[~np.isnan(jumps)]
-                return len(jumps), float((jumps**2).sum())
+                return _spread_of_jumps(known[kinds[a]], v[a:b], s[a:b])
 
             if before is None:
                 rows.append((int(part[0]), "first", *ids(0), kinds[0], *level(0), None, *device(int(cuts[0]), int(ends[0]))))
@@ -328,7 +339,6 @@ def _measured(ordered: DataFrame, known: dict[str, Model]) -> tuple[dict[str, Mo
                 at = int(min(jump / BIN, BINS))
                 of[at] = of.get(at, 0) + 1
                 turns[a["series"]] = turns.get(a["series"], 0) + (a["state"] != b["state"])
-                sums[key] = (sums[key][0] + 1, sums[key][1] + jump**2)
     out = {}
     for series, model in known.items():
         hist = jumps.get(series, {})
@@ -347,7 +357,7 @@ def _measured(ordered: DataFrame, known: dict[str, Model]) -> tuple[dict[str, Mo
             min(max((PSEUDO * SWITCH + n * q) / (PSEUDO + n), 1e-6), 1 - 1e-9), model.misstated,
         )
     series_of = {(r["d"], r["e"]): r["series"] for r in edges.values()}
-    own = {key: out[series_of[key]].own_jump(sums[key][1], sums[key][0]) for key in across}
+    own = {key: out[series_of[key]].own_jump(*sums[key]) for key in across}
     return out, own, across
 
 
