@@ -192,7 +192,7 @@ def decode(
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes, long computing: not to be coalesced
     by = ("__d", "__e", *order, "__tie")
     # devices are whole in a hash partition; only those too large for one are cut along their order
-    large = hot_keys(df.filter(F.col(value).isNotNull()).select(*device), list(device), share=1 / (2 * parts)) if parts > 1 else []
+    large = hot_keys(df.select(*device), list(device), share=1 / (2 * parts)) if parts > 1 else []
     cut = matches(list(device), large)
     laid = [tagged.filter(~cut).repartition(parts, "__d"), tagged.filter(cut).repartitionByRange(parts, *by)] if large else [tagged.repartition(parts, "__d")]
     sorted_ = [x.sortWithinPartitions(*by).drop("__tie").withColumn("__part", F.spark_partition_id() + i * parts) for i, x in enumerate(laid)]

@@ -312,7 +312,7 @@ def measured(spark: SparkSession, d: str) -> DataFrame:
         F.when(is_rate, rate_unit).otherwise(money(code, scale)).alias("stated"), F.when(is_rate, "rate").otherwise("money").alias("family"),
         F.lit(True).alias("counts"),
     )
-    return quantities.unionByName(values).unionByName(exceptions).unionByName(spreads, allowMissingColumns=True).filter("amount is not null")
+    return quantities.unionByName(values).unionByName(exceptions).unionByName(spreads, allowMissingColumns=True)
 
 
 def p4_units(spark: SparkSession, d: str) -> DataFrame:
@@ -324,7 +324,7 @@ def p4_units(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _in_base_units(spark: SparkSession, d: str, rows: DataFrame) -> DataFrame:
-    rows = units_op.decode(rows, ["record_table", "field_name", "device"], ["at"], "amount", "stated", unit_families(spark, d), "family", series=("record_table", "field_name"))
+    rows = units_op.decode(rows, ["record_table", "field_name", "device"], ["at"], "amount", "stated", unit_families(spark, d), "family", series=("record_table", "field_name")).filter("amount is not null")
     units, rates = _sizes(spark, d)
     wide = rows.join(F.broadcast(units.withColumnRenamed("unit_code", "unit").drop("dimension")), "unit", "left").withColumns({
         "currency_code": F.when(F.col("family") == "money", F.substring_index("unit", "*", 1)),
