@@ -6,10 +6,13 @@ cost drops. This is repeated for nested layers. Two families are tried:
 
 * UTF-8 bytes read as a single-byte encoding. Such stretches are sequences of a
   lead byte and its continuation bytes, so they are found and repaired in place,
-  also where only a part of the text is garbled;
+  also where only a part of the text is garbled. Two continuation bytes in step
+  with their leads are no accident, so any script is restored; a single
+  two-byte sequence must give a letter or sign of European text;
 * one single-byte encoding read as another (Cyrillic and Latin alphabets). Such
   words are judged by their cost: letters and symbols mixed in a word, capitals
-  after small letters, several scripts in a word, control characters.
+  after small letters, several scripts in a word, control characters; and Latin
+  letters that the language of the text's other words does not have.
 
 The replacement character U+FFFD shows that bytes were lost: the record is
 affected, the rest of it is repaired.
@@ -22,6 +25,7 @@ from __future__ import annotations
 
 import functools
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
@@ -31,7 +35,9 @@ from pyspark.sql import functions as F
 from fundloom.functions.frames import frame
 
 #: Encodings as which UTF-8 bytes may have been read, the commonest first.
-MISREAD_UTF8 = ("cp1252", "mac_roman", "cp437", "cp850", "cp1250", "cp1251", "koi8_r", "cp866", "iso8859_2")
+MISREAD_UTF8 = ("cp1252", "mac_roman", "cp437", "cp850", "cp1250", "cp1251", "koi8_r", "cp866", "iso8859_2", "cp1254", "cp1257", "cp1253")
+#: Of these, those as which other scripts may have been read: the others share letters with Cyrillic and Greek text.
+OTHER_UTF8 = ("cp1252", "mac_roman")
 #: (read as, meant as) for single-byte text.
 MISREAD_SINGLE = (
     ("cp1251", "koi8_r"), ("koi8_r", "cp1251"), ("cp1252", "cp1251"), ("cp1252", "koi8_r"), ("cp1251", "cp866"), ("cp866", "cp1251"),
@@ -39,8 +45,19 @@ MISREAD_SINGLE = (
     ("mac_roman", "cp1252"), ("cp1252", "mac_roman"), ("cp1252", "cp437"), ("cp1252", "cp850"), ("cp1251", "cp1252"), ("cp1251", "cp1250"),
     ("cp1252", "cp866"), ("cp1252", "iso8859_5"), ("cp1251", "iso8859_5"),
 )
+#: (read as, meant as) for Latin text whose garbled letters are still letters; judged by the language of the text.
+MISREAD_LATIN = (("cp1250", "cp1252"), ("mac_roman", "cp1252"), ("cp1252", "mac_roman"), ("cp1252", "cp1250"), ("iso8859_2", "cp1252"), ("cp1252", "iso8859_2"), ("cp850", "cp1252"), ("cp1257", "cp1252"), ("cp1252", "cp1257"))
+#: Languages of the Latin alphabet with their letters beyond ASCII and common words in plain letters.
+LANGUAGES = {
+    "french": ("àâæçéèêëîïôœùûüÿ", "le la les des du de et un une est dans pour que qui sur par au aux en"), "german": ("äöüß", "der die das und den dem des ist im von mit zu auf ein eine nicht"),
+    "spanish": ("áéíñóúü", "el la los las de del y un una en que por con para se al"), "portuguese": ("àáâãçéêíóôõúü", "o a os as de do da dos das e um uma em que por com para no na"),
+    "italian": ("àéèìíîòóùú", "il lo la gli le di del della e un una in che per con si al"), "dutch": ("áéèëïóöü", "de het een en van in is op te dat met voor zijn"),
+    "danish": ("æøåé", "og den det en et af til i er som for med ikke"), "swedish": ("åäöé", "och den det en ett av till i som med inte att"),
+    "polish": ("ąćęłńóśźż", "w na z do nie o po jest oraz od dla przez za przy"), "czech": ("áčďéěíňóřšťúůýž", "a v na se z do je o pro od po s byl jako"),
+    "hungarian": ("áéíóöőúüű", "a az egy nem hogy van meg is volt ezt"), "romanian": ("ăâîșşțţ", "de la cu pe un o din care nu este pentru"),
+    "turkish": ("âçğıîöşü", "ve bir bu ile da de olarak daha ne var"), "croatian": ("čćđšž", "i u na je se za od da su s kao"),
+}
 LOST = "�"
-MAX_LAYERS = 6
 
 
 @functools.cache
@@ -65,12 +82,13 @@ def _to_bytes(encoding: str) -> dict[str, int]:
 
 
 @functools.cache
-def _sequences() -> re.Pattern:
-    """One multi-byte UTF-8 sequence as it looks when read as cp1252 or as Latin-1."""
+def _sequences() -> tuple[re.Pattern, re.Pattern]:
+    """One multi-byte UTF-8 sequence, and a row of them, as they look when read as cp1252 or as Latin-1."""
     by = _characters("cp1252")
     chars = lambda lo, hi: "".join(re.escape(c) for b in range(lo, hi + 1) for c in sorted({by.get(b, chr(b)), chr(b)}))
     cont = f"[{chars(0x80, 0xBF)}]"
-    return re.compile("|".join(f"[{chars(lo, hi)}]{cont}{{{n}}}" for lo, hi, n in ((0xC2, 0xDF, 1), (0xE0, 0xEF, 2), (0xF0, 0xF4, 3))))
+    one = "|".join(f"[{chars(lo, hi)}]{cont}{{{n}}}" for lo, hi, n in ((0xC2, 0xDF, 1), (0xE0, 0xEF, 2), (0xF0, 0xF4, 3)))
+    return re.compile(one), re.compile(f"(?:{one})+")
 
 
 @functools.cache
@@ -83,26 +101,54 @@ def _plausible(c: str) -> bool:
     """Letters and signs of running text in the scripts of this corpus."""
     o = ord(c)
     return (
-        0xA0 <= o <= 0x17F or o in (0x192, 0x218, 0x219, 0x21A, 0x21B, 0x2C6, 0x2DC) or 0x391 <= o <= 0x3C9 or 0x400 <= o <= 0x45F
+        0xA0 <= o <= 0x17F or o in (0x192, 0x218, 0x219, 0x21A, 0x21B, 0x2C6, 0x2DC) or 0x386 <= o <= 0x3CE or 0x400 <= o <= 0x45F
         or 0x2010 <= o <= 0x203A or 0x20A0 <= o <= 0x20BF or 0x2070 <= o <= 0x209F or 0x2100 <= o <= 0x23FF or 0x2500 <= o <= 0x25FF or o in (0xFB01, 0xFB02)
     )
 
 
-def _unmisread(garbled: str, encoding: str) -> str:
+def _assigned(c: str) -> bool:
+    """Whether a character is in use at all: assigned, not private, no control."""
+    return unicodedata.category(c) not in ("Cn", "Co", "Cs", "Cc")
+
+
+def _unmisread(garbled: str, encoding: str, other: bool = False) -> str:
+    """What the bytes of ``garbled`` were meant as, or ``garbled``; characters of other scripts only where ``other``."""
     table = _to_bytes(encoding)
     try:
         meant = bytes(table[c] if c in table else ord(c) for c in garbled).decode("utf-8")
     except (UnicodeDecodeError, ValueError):
         return garbled
     # nested layers leave controls that the next round resolves
-    return meant if all(_plausible(c) or 0x80 <= ord(c) < 0xA0 for c in meant) else garbled
+    odd = [c for c in meant if not (_plausible(c) or 0x80 <= ord(c) < 0xA0)]
+    if all(ord(c) > 0xFFFF and unicodedata.category(c) == "So" for c in odd):  # four bytes in step
+        return meant
+    return meant if other and all(map(_assigned, odd)) else garbled
 
 
 _RUN = re.compile(r"[^\x00-\x7f]{2,}")
 
 
+def _other_scripts(text: str) -> bool:
+    """Whether the text holds UTF-8 of other scripts that was misread.
+
+    Bytes of some single-byte alphabets fall into step by chance, so of the
+    runs that European letters don't explain nearly all must decode whole.
+    """
+    good = bad = 0
+    for m in _RUN.finditer(text):
+        run = m.group()
+        if any(run[0] in _leads(e) and all(c in _to_bytes(e) for c in run) and _unmisread(run, e) != run for e in MISREAD_UTF8):
+            continue
+        forms = [x for x in (run, run.strip(_EDGES)) if len(x) > 1]
+        if any(_unmisread(x, e, True) != x for x in forms for e in OTHER_UTF8 if x[0] in _leads(e) and all(c in _to_bytes(e) or ord(c) < 0xA0 for c in x)):
+            good += len(run)
+        elif run[0] in _leads("cp1252") or any(0x80 <= ord(c) < 0xA0 for c in run):
+            bad += len(run)
+    return good >= 3 and good >= 4 * bad
+
+
 @functools.lru_cache(maxsize=200_000)
-def _fix_run(run: str) -> str:
+def _fix_run(run: str, other: bool = False) -> str:
     """A run of characters beyond ASCII with one layer undone.
 
     A run that decodes as a whole is taken whole, under the first encoding that
@@ -112,10 +158,12 @@ def _fix_run(run: str) -> str:
     """
     for encoding in MISREAD_UTF8:
         if run[0] in _leads(encoding) and all(c in _to_bytes(encoding) for c in run):
-            new = _unmisread(run, encoding)
+            new = _unmisread(run, encoding, other and encoding in OTHER_UTF8)
             if new != run:
                 return new
-    return _sequences().sub(lambda m: _unmisread(m.group(), "cp1252"), run)
+    one, several = _sequences()
+    whole = several.sub(lambda m: _unmisread(m.group(), "cp1252", other), run)
+    return whole if whole != run else one.sub(lambda m: _unmisread(m.group(), "cp1252"), run)
 
 
 #: Runs of letters and of characters beyond ASCII, whatever these are: a garbled letter may be a sign or a hard blank.
@@ -189,6 +237,81 @@ def _swap_single(text: str) -> tuple[str, int]:
     return "".join(out) + text[at:], len(gained)
 
 
+_LETTERS = re.compile(r"[^\W\d_]+")
+
+
+@functools.cache
+def _common() -> dict[str, tuple[str, ...]]:
+    """The languages of each common word."""
+    out: dict[str, list[str]] = {}
+    for name, (_, words) in LANGUAGES.items():
+        for w in words.split():
+            out.setdefault(w, []).append(name)
+    return {w: tuple(names) for w, names in out.items()}
+
+
+def _language(text: str) -> str | None:
+    """The language of most of the words: common ones, and half a vote for each spelled with its own letters; None for fewer than a tenth."""
+    words, votes, common = _LETTERS.findall(text.lower()), {}, _common()
+    for w in words:
+        if w.isascii():
+            for name in common.get(w, ()):
+                votes[name] = votes.get(name, 0) + 1.0
+        else:
+            for name, (letters, _) in LANGUAGES.items():
+                if all(c in letters for c in w if ord(c) > 127):
+                    votes[name] = votes.get(name, 0) + 0.5
+    best = max(votes, key=lambda n: (votes[n], n), default=None)
+    return best if best and votes[best] >= 2 and votes[best] >= 0.1 * len(words) else None
+
+
+def _inner_capital(word: str) -> bool:
+    """Whether a capital beyond ASCII follows a small letter."""
+    return any(ord(b) > 127 and b.isupper() and a.islower() for a, b in zip(word, word[1:], strict=False))
+
+
+def _swap_latin(text: str) -> tuple[str, int]:
+    """The text swapped under the pair that leaves the fewest words with letters foreign to its language.
+
+    A pair must clear all words it changes, at least two, or one with a capital
+    inside; so a name from elsewhere stays.
+    """
+    words = {w for w in _LETTERS.findall(text) if not w.isascii() and all(_script(c) == 1 for c in w)}
+    if not words or not (language := _language(text)):
+        return text, 0
+    own = set(LANGUAGES[language][0])
+    foreign = lambda w: _inner_capital(w) or any(ord(c) > 127 and c not in own for c in w.lower())
+    if not any(map(foreign, words)):
+        return text, 0
+    for read, meant in MISREAD_LATIN:
+        table = _to_bytes(read)
+
+        def swapped(w: str) -> str | None:
+            try:
+                return bytes(table[c] for c in w).decode(meant)  # noqa: B023
+            except (KeyError, UnicodeDecodeError):
+                return None
+
+        changed = {w: n for w in words if (n := swapped(w)) is not None and n != w}
+        if not changed or any(not n.isalpha() or foreign(n) or not foreign(w) for w, n in changed.items()):
+            continue
+        if len(changed) < 2 and not any(map(_inner_capital, changed)):
+            continue
+        hits = 0
+
+        def fix(m: re.Match) -> str:
+            nonlocal hits
+            w = m.group()
+            n = changed.get(w, w)  # noqa: B023
+            if n == w and w not in words and not w.isascii() and re.search("[A-Za-z]", w) and (new := swapped(w)) and new.isalpha() and not foreign(new):  # noqa: B023
+                n = new  # a letter garbled to a sign inside a word
+            hits += n != w
+            return n
+
+        return _WORD.sub(fix, text), hits
+    return text, 0
+
+
 def repair(text: str | None) -> tuple[str | None, int, bool]:
     """(repaired text, number of garbled stretches, whether bytes were lost)."""
     if not text or text.isascii():
@@ -196,6 +319,8 @@ def repair(text: str | None) -> tuple[str | None, int, bool]:
     stretches, lost = text.count(LOST), LOST in text
     text, hits = _layers(text)
     text, swapped = _swap_single(text)
+    if not swapped:
+        text, swapped = _swap_latin(text)
     text, more = _layers(text)
     return text, stretches + hits + swapped + more, lost
 
@@ -206,14 +331,14 @@ def _layers(text: str) -> tuple[str, int]:
 
     def fix(m: re.Match) -> str:
         nonlocal hits
-        new = _fix_run(m.group())
+        new = _fix_run(m.group(), other)
         hits += new != m.group()
         return new
 
-    for _ in range(MAX_LAYERS):
+    before = None
+    while text != before:  # each layer undone makes the text shorter
+        other = _other_scripts(text)
         before, text = text, _RUN.sub(fix, text)
-        if text == before:
-            break
     return text, hits
 
 

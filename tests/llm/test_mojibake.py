@@ -41,6 +41,41 @@ def test_round_trip(text, read, layers):
     assert stretches and not lost and fixed == text
 
 
+WORLD = [
+    "株式会社の四半期報告書をご確認ください。", "הדוח הרבעוני של הקרן מצורף.", "التقرير الفصلي للصندوق مرفق.", "รายงานรายไตรมาสของกองทุน", "Report ready 😀 thanks", "基金季度报告", "펀드 분기 보고서",
+    "फंड की तिमाही रिपोर्ट", "Έκθεση του ταμείου",
+]
+
+
+@pytest.mark.parametrize("text", WORLD)
+def test_clean_text_of_any_script_is_left_alone(text):
+    assert M.repair(text) == (text, 0, False)
+    assert M.repair(text + " " + TEXTS[0]) == (text + " " + TEXTS[0], 0, False)
+
+
+@pytest.mark.parametrize("text", WORLD)
+@pytest.mark.parametrize("read", ["cp1252", "latin-1", "mac_roman"])
+def test_any_script_comes_back(text, read):
+    assert M.repair(garble(text, read))[0] == text
+    assert M.repair("Net asset value. " + garble(text, read))[0] == "Net asset value. " + text
+
+
+def test_latin_letters_of_another_language():
+    spanish = "La inversión del señor Núñez terminó en marzo."
+    assert M.repair(spanish.encode("cp1252").decode("mac_roman"))[0] == spanish
+    french = "La mère célèbre la fête à Nîmes."
+    assert M.repair(french.encode("cp1252").decode("cp1250"))[0] == french
+    for clean in (spanish, french, "Łódź and Škoda met Müller in São Paulo.", "Žižkov, Kraków, Malmö", "İstanbul’da güçlü büyüme"):
+        assert M.repair(clean) == (clean, 0, False)
+
+
+def test_many_layers():
+    bad = TEXTS[4]
+    for _ in range(7):
+        bad = garble(bad, "latin-1")
+    assert M.repair(bad)[0] == TEXTS[4]
+
+
 def test_partly_garbled_and_lost():
     half = TEXTS[0] + " " + garble(TEXTS[4], "cp1252")
     assert M.repair(half)[0] == TEXTS[0] + " " + TEXTS[4]
