@@ -250,8 +250,8 @@ def _common() -> dict[str, tuple[str, ...]]:
     return {w: tuple(names) for w, names in out.items()}
 
 
-def _language(text: str) -> str | None:
-    """The language of most of the words: common ones, and half a vote for each spelled with its own letters; None for fewer than a tenth."""
+def _languages(text: str) -> list[str]:
+    """The languages of most words, ties included: common words vote, and by half those spelled with its letters; none for fewer than a tenth."""
     words, votes, common = _LETTERS.findall(text.lower()), {}, _common()
     for w in words:
         if w.isascii():
@@ -261,8 +261,8 @@ def _language(text: str) -> str | None:
             for name, (letters, _) in LANGUAGES.items():
                 if all(c in letters for c in w if ord(c) > 127):
                     votes[name] = votes.get(name, 0) + 0.5
-    best = max(votes, key=lambda n: (votes[n], n), default=None)
-    return best if best and votes[best] >= 2 and votes[best] >= 0.1 * len(words) else None
+    best = max(votes.values(), default=0.0)
+    return sorted(n for n, v in votes.items() if v == best) if best >= max(2, 0.1 * len(words)) else []
 
 
 def _inner_capital(word: str) -> bool:
@@ -277,9 +277,14 @@ def _swap_latin(text: str) -> tuple[str, int]:
     inside; so a name from elsewhere stays.
     """
     words = {w for w in _LETTERS.findall(text) if not w.isascii() and all(_script(c) == 1 for c in w)}
-    if not words or not (language := _language(text)):
-        return text, 0
-    own = set(LANGUAGES[language][0])
+    for language in _languages(text) if words else []:
+        done = _swap_to(text, words, set(LANGUAGES[language][0]))
+        if done[1]:
+            return done
+    return text, 0
+
+
+def _swap_to(text: str, words: set[str], own: set[str]) -> tuple[str, int]:
     foreign = lambda w: _inner_capital(w) or any(ord(c) > 127 and c not in own for c in w.lower())
     if not any(map(foreign, words)):
         return text, 0
