@@ -26,6 +26,7 @@ from __future__ import annotations
 import functools
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -136,17 +137,23 @@ def _other_scripts(text: str) -> bool:
     """
     good = bad = 0
     for m in _RUN.finditer(text):
-        run = m.group()
-        if any(run[0] in _leads(e) and all(c in _to_bytes(e) for c in run) and _unmisread(run, e) != run for e in MISREAD_UTF8):
-            continue
-        forms = [x for x in (run, run.strip(_EDGES)) if len(x) > 1]
-        if any(_unmisread(x, e, True) != x for x in forms for e in OTHER_UTF8 if x[0] in _leads(e) and all(c in _to_bytes(e) or ord(c) < 0xA0 for c in x)):
-            good += len(run)
-        elif run[0] in _leads("cp1252") or any(0x80 <= ord(c) < 0xA0 for c in run):
-            bad += len(run)
+        kind = _other_kind(m.group())
+        good += max(0, kind)
+        bad += max(0, -kind)
     return good >= 3 and good >= 4 * bad
 
 
+@functools.lru_cache(maxsize=200_000)
+def _other_kind(run: str) -> int:
+    """The length of a run that is UTF-8 of another script misread, minus that of one that looks so but is not; 0 for others."""
+    if any(run[0] in _leads(e) and all(c in _to_bytes(e) for c in run) and _unmisread(run, e) != run for e in MISREAD_UTF8):
+        return 0
+    forms = [x for x in (run, run.strip(_EDGES)) if len(x) > 1]
+    if any(_unmisread(x, e, True) != x for x in forms for e in OTHER_UTF8 if x[0] in _leads(e) and all(c in _to_bytes(e) or ord(c) < 0xA0 for c in x)):
+        return len(run)
+    return -len(run) if run[0] in _leads("cp1252") or any(0x80 <= ord(c) < 0xA0 for c in run) else 0
+
+
 @functools.lru_cache(maxsize=200_000)
 def _fix_run(run: str, other: bool = False) -> str:
     """A run of characters beyond ASCII with one layer undone.
@@ -252,17 +259,17 @@ def _common() -> dict[str, tuple[str, ...]]:
 
 def _languages(text: str) -> list[str]:
     """The languages of most words, ties included: common words vote, and by half those spelled with its letters; none for fewer than a tenth."""
-    words, votes, common = _LETTERS.findall(text.lower()), {}, _common()
-    for w in words:
-        if w.isascii():
-            for name in common.get(w, ()):
-                votes[name] = votes.get(name, 0) + 1.0
-        else:
-            for name, (letters, _) in LANGUAGES.items():
-                if all(c in letters for c in w if ord(c) > 127):
-                    votes[name] = votes.get(name, 0) + 0.5
+    words, votes, common = Counter(text.lower().split()), {}, _common()
+    for w in words.keys() & common.keys():
+        for name in common[w]:
+            votes[name] = votes.get(name, 0) + float(words[w])
+    for w in (w for w in words if not w.isascii()):
+        high = {c for c in w if ord(c) > 127 and c.isalpha()}
+        for name, (letters, _) in LANGUAGES.items():
+            if high and high <= set(letters):
+                votes[name] = votes.get(name, 0) + 0.5 * words[w]
     best = max(votes.values(), default=0.0)
-    return sorted(n for n, v in votes.items() if v == best) if best >= max(2, 0.1 * len(words)) else []
+    return sorted(n for n, v in votes.items() if v == best) if best >= max(2, 0.1 * words.total()) else []
 
 
 def _inner_capital(word: str) -> bool:
@@ -276,7 +283,8 @@ def _swap_latin(text: str) -> tuple[str, int]:
     A pair must clear all words it changes, at least two, or one with a capital
     inside; so a name from elsewhere stays.
     """
-    words = {w for w in _LETTERS.findall(text) if not w.isascii() and all(_script(c) == 1 for c in w)}
+    high = " ".join({w for w in text.split() if not w.isascii()})
+    words = {w for w in _LETTERS.findall(high) if not w.isascii() and all(_script(c) == 1 for c in w)}
     for language in _languages(text) if words else []:
         done = _swap_to(text, words, set(LANGUAGES[language][0]))
         if done[1]:
