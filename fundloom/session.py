@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,7 +31,13 @@ def checkpoint(df: DataFrame) -> DataFrame:
     session without one gets a temporary folder; a cluster without one is an
     error, because a folder of one machine would not survive its loss.
     """
-    sc = df.sparkSession.sparkContext
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of :func:`checkpoint`."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         configured = sc.getConf().get("spark.checkpoint.dir", "")
         if configured:
@@ -39,7 +46,17 @@ def checkpoint(df: DataFrame) -> DataFrame:
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="fundloom-checkpoint-"))
         else:
             raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-    return df.checkpoint(eager=True)
+    return sc.getCheckpointDir()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a compressed table in the shared folder: what is read several times, or by some of its columns.
+
+    The table survives the loss of executors as a checkpoint does, in a part of its space.
+    """
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
