@@ -252,7 +252,7 @@ def prepared(blocks: DataFrame) -> DataFrame:
             yield frame(block_id=f["block_id"], kinds=kinds, body=bodies)
 
     bare = joined.mapInPandas(run, "block_id string, kinds array<string>, body string")
-    whole = F.regexp_replace("body", rf"(?<=[A-Za-z]){BREAK}\n(?=[A-Za-z])", JOINED)
+    whole = F.regexp_replace("body", rf"(?<=[A-Za-z!]){BREAK}\n(?=[A-Za-z!])", JOINED)
     return written(bare.withColumn("words", _words(whole)))
 
 
@@ -266,9 +266,9 @@ def _words(text):
 
 def divided(prep: DataFrame) -> DataFrame:
     """(block_id, left, right) of each word divided by a line end."""
-    pattern = rf"([A-Za-z][A-Za-z'’!0-9-]*){BREAK}\n([A-Za-z!0-9]+)"
-    pairs = F.arrays_zip(F.regexp_extract_all("body", F.lit(pattern), 1).alias("l"), F.regexp_extract_all("body", F.lit(pattern), 2).alias("r"))
-    return prep.select("block_id", F.explode(pairs).alias("p")).select("block_id", F.col("p.l").alias("left"), F.col("p.r").alias("right"))
+    pattern = rf"([A-Za-z][A-Za-z'’!0-9-]*){JOINED}([A-Za-z!0-9]+)"
+    cut = prep.select("block_id", F.explode(F.filter("words", lambda w: w.contains(JOINED))).alias("w"))
+    return cut.select("block_id", F.regexp_extract("w", pattern, 1).alias("left"), F.regexp_extract("w", pattern, 2).alias("right")).filter("left != ''")
 
 
 def vocabulary(prep: DataFrame) -> DataFrame:
