@@ -2,15 +2,21 @@
 
 A name is read into parts: what kind of firm or fund it is (descriptor words,
 abbreviations expanded, legal form), a series number, a person's first name
-(nicknames resolved) and the family core - the distinctive letters. Spellings
-of one entity agree in the closed parts and differ in the core by few edits.
+(nicknames resolved) and the family core - the distinctive letters, in the order
+typed and in the order of its words. A short word that is one edit from a
+descriptor is read both ways. Series and person are vetoes: names that differ in
+them are never linked. The other parts of two spellings may differ by edits.
 
 Cores are linked by an exact radius join in a metric space: the unrestricted
-Damerau-Levenshtein distance, a true metric. Pivots are drawn from the data,
-each core goes to the cell of its nearest pivot, and cores near a boundary are
-replicated: by the triangle inequality two cores within radius r whose nearest
-pivots differ are both no farther from either pivot than their own nearest
-distance plus 2 r. Each cell is then joined exactly.
+Damerau-Levenshtein distance, a true metric. Names meet under the segments that
+edits leave intact (pigeonhole), and each such group is partitioned by pivots
+drawn from it: a name belongs to the cell of its nearest pivot, and names that
+look for partners go to every cell they could have one in - by the triangle
+inequality those whose pivot is no farther than the cell's own extent plus the
+radius. Each cell is joined exactly. A group too large for a task is cut into
+blocks on both sides, whatever its size.
+
+Short cores have a smaller radius: an edit in four letters makes another name.
 
 Defined results: null and blank names are no names; repeated names count once;
 a name without distinctive letters is linked to nothing; a short form of
@@ -20,6 +26,7 @@ connected components of the links.
 
 from __future__ import annotations
 
+import functools
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -32,7 +39,7 @@ from pyspark.sql import functions as F
 
 from fundloom.functions.frames import frame
 from fundloom.operators.components import components
-from fundloom.session import checkpoint, spread
+from fundloom.session import spread, written
 
 # Descriptor words with their usual abbreviations.
 ABBREVIATED = {
@@ -72,13 +79,14 @@ for _first, _short in NICKNAMES.items():
 
 @dataclass(frozen=True)
 class Parts:
-    """A name read into its parts; ``core`` holds the distinctive letters."""
+    """A name read into its parts; ``core`` holds the distinctive letters in the order typed, ``ordered`` word by word in order."""
 
     core: str
     kind: str
     form: str
     series: str
     persons: tuple[str, ...]
+    ordered: str
 
 
 def _near(a: str, b: str) -> bool:
@@ -89,39 +97,58 @@ def _near(a: str, b: str) -> bool:
     return a[i + 1:] == b[i + 1:] or a[i:] == b[i + 1:] or a[i + 1:] == b[i:] or (a[i: i + 2] == b[i: i + 2][::-1] and a[i + 2:] == b[i + 2:])
 
 
+@functools.lru_cache(maxsize=100_000)
+def _descriptor(word: str) -> tuple[str | None, str | None]:
+    """(the descriptor that a word surely is, the one it may be if misspelled)."""
+    known = _WORD_OF.get(word)
+    if known or len(word) < 4:
+        return known, None
+    near = sorted(d for d in ABBREVIATED if len(d) >= 4 and _near(word, d))
+    sure = next((d for d in near if len(d) >= 6 and len(word) >= 5), None)
+    return sure, None if sure or not near else near[0]
+
+
 def read(name: str) -> Parts | None:
-    """The parts of a name, or None when nothing distinctive is in it."""
-    s = unicodedata.normalize("NFKC", name).lower()
+    """The parts of a name at its face, or None when nothing distinctive is in it."""
+    found = readings(name)
+    return found[0] if found else None
+
+
+def readings(name: str) -> list[Parts]:
+    """The ways to read a name: at its face and, if a short word may be a misspelled descriptor, with that."""
+    s = unicodedata.normalize("NFKC", name).casefold()
     s = re.sub(r"[.'’]", "", s)
-    s = re.sub(r"[&+]|\band\b", " & ", s)
-    words = re.findall(r"[^\W_]+|&", s)
-    kind, form, series, persons, core = [], [], "", (), []
-    joined = "&" in words
-    longest = sorted((w for w in words if w != "&"), key=len)
-    for w in words:
-        if w == "&":
-            continue
-        if w in ROMAN or w.isdigit():
-            series = str(ROMAN.get(w, w))
-            continue
-        known = _WORD_OF.get(w)
-        if known is None and len(w) >= 5:  # a typo in a long descriptor word
-            known = next((d for d in ABBREVIATED if len(d) >= 6 and _near(w, d)), None)
-        if known:
-            (form if known in LEGAL else kind).append(known)
-            continue
-        first = _FIRSTS_OF.get(w)
-        if first is None and len(w) >= 6:
-            first = next(([f] for f in NICKNAMES if len(f) >= 6 and _near(w, f)), None)
-        if first and len(longest) > 2 and not persons:
-            persons = tuple(first)
-            continue
-        core.append(w)
-    if not core:
-        return None
-    if joined or len(core) == 2:
-        core = sorted(core) if joined else core
-    return Parts("".join(core), " ".join(sorted(set(kind))), " ".join(sorted(set(form))), series, persons or ("",))
+    s = re.sub(r"[&+]|\band\b", " ", s)
+    words = re.findall(r"[^\W_]+", s)
+    out = []
+    for corrected in (False, True):
+        kind, form, series, persons, core = [], [], "", (), []
+        left = 0
+        for w in words:
+            sure, maybe = _descriptor(w)
+            known = sure or (maybe if corrected else None)
+            left += not (known or w in ROMAN or w.isdigit())
+        for w in words:
+            if w in ROMAN or w.isdigit():
+                series = str(ROMAN.get(w, w))
+                continue
+            sure, maybe = _descriptor(w)
+            known = sure or (maybe if corrected else None)
+            if known:
+                (form if known in LEGAL else kind).append(known)
+                continue
+            first = _FIRSTS_OF.get(w)
+            if first is None and len(w) >= 6:
+                first = next(([f] for f in NICKNAMES if len(f) >= 6 and _near(w, f)), None)
+            if first and left > 1 and not persons:  # something distinctive stays
+                persons = tuple(first)
+                continue
+            core.append(w)
+        if core:
+            parts = Parts("".join(core), " ".join(sorted(set(kind))), " ".join(sorted(set(form))), series, persons or ("",), "".join(sorted(core)))
+            if parts not in out:
+                out.append(parts)
+    return out
 
 
 def distance(a: str, b: str, limit: int | None = None) -> int:
@@ -157,8 +184,16 @@ def distance(a: str, b: str, limit: int | None = None) -> int:
 # ------------------------------------------------------------ the metric join
 
 RADIUS = 2
-#: Names per cell aimed at, and names of a block beyond which it is divided by intact segments instead of pivots.
-CELL, BLOCK_LIMIT = 256, 4_000
+#: Names per cell aimed at, and rows of a group on one side that one task takes at once.
+CELL, CHUNK = 256, 4_096
+#: Least lengths of cores that may differ by one edit and by two.
+ONE_EDIT, TWO_EDITS = 4, 7
+
+
+def allowed(a: str, b: str, radius: int = RADIUS) -> int:
+    """Edits by which two cores may differ: fewer for short ones."""
+    n = min(len(a), len(b))
+    return min(radius, 0 if n < ONE_EDIT else 1 if n < TWO_EDITS else radius)
 
 
 def encode(names: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -194,120 +229,154 @@ def distances(pivot: str, codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return d[len(pivot) + 1, lengths + 1, rows]
 
 
-def close_pairs(names: list[str], home: list[bool], radius: int) -> list[tuple[str, str]]:
-    """Pairs within the radius whose smaller name is at home, exactly.
-
-    Letter counts bound the distance from below (an edit changes at most one
-    letter on each side, a swap none), so only pairs that pass are measured.
-    """
-    order = sorted(range(len(names)), key=lambda i: names[i])
-    names, home = [names[i] for i in order], [home[i] for i in order]
-    alphabet = {c: i for i, c in enumerate(sorted({c for n in names for c in n}))}
+def _letter_counts(names: list[str], alphabet: dict[str, int]) -> np.ndarray:
     counts = np.zeros((len(names), len(alphabet)), dtype=np.int16)
     for i, n in enumerate(names):
         for c in n:
             counts[i, alphabet[c]] += 1
-    out = []
-    for i in range(len(names) - 1):
-        if home[i]:
-            diff = counts[i + 1:] - counts[i]
-            near = np.maximum(np.maximum(diff, 0).sum(axis=1), np.maximum(-diff, 0).sum(axis=1)) <= radius
-            out += [(names[i], names[j]) for j in (np.flatnonzero(near) + i + 1) if distance(names[i], names[j], radius) <= radius]
+    return counts
+
+
+def _in_cell(held: list[str], asking: list[str], radius: int) -> set[tuple[str, str]]:
+    """Pairs (smaller, larger) of a held and an asking name within the radius, exactly.
+
+    Letter counts bound the distance from below (an edit changes at most one
+    letter on each side, a swap none), so only pairs that pass are measured.
+    """
+    alphabet = {c: i for i, c in enumerate(sorted({c for n in [*held, *asking] for c in n}))}
+    h, out = _letter_counts(held, alphabet), set()
+    for a, counts in zip(asking, _letter_counts(asking, alphabet), strict=True):
+        diff = h - counts
+        near = np.maximum(np.maximum(diff, 0).sum(axis=1), np.maximum(-diff, 0).sum(axis=1)) <= radius
+        out |= {(min(a, held[i]), max(a, held[i])) for i in np.flatnonzero(near) if held[i] != a and distance(a, held[i], radius) <= allowed(a, held[i], radius)}
     return out
 
 
+def close_pairs(held: list[str], asking: list[str], radius: int, cell: int = CELL) -> list[tuple[str, str]]:
+    """Pairs of a held and an asking name within the radius, joined in the cells of pivots drawn from the held ones."""
+    if len(held) <= cell:
+        return sorted(_in_cell(held, asking, radius))
+    pivots = held[:: cell]  # held names come in order of a hash
+    codes, lengths = encode(held)
+    away = np.stack([distances(p, codes, lengths) for p in pivots], axis=1)
+    home = away.argmin(axis=1)
+    asked_codes, asked_lengths = encode(asking)
+    out: set[tuple[str, str]] = set()
+    for c, p in enumerate(pivots):
+        inside = np.flatnonzero(home == c)
+        if len(inside):
+            reach = distances(p, asked_codes, asked_lengths) <= away[inside, c].max() + radius
+            out |= _in_cell([held[i] for i in inside], [asking[i] for i in np.flatnonzero(reach)], radius)
+    return sorted(out)
+
+
 def _segments(length: int, parts: int) -> list[tuple[int, int]]:
-    cuts = [round(k * length / parts) for k in range(parts + 1)]
+    """(start, end) of the parts of a name of that length; the longer ones come last."""
+    short, longer = divmod(length, parts)
+    cuts = [0]
+    for k in range(parts):
+        cuts.append(cuts[-1] + short + (k >= parts - longer))
     return list(zip(cuts, cuts[1:], strict=False))
 
 
-def segment_keys(name: str, radius: int) -> list[str]:
-    """Keys of which two names within the radius share at least one.
+def held_keys(name: str, radius: int) -> list[str]:
+    """The segments of a name, of which one is intact in every name within the radius.
 
-    Cut into 2 r + 1 segments: an edit or swap touches at most two of them, so
-    one survives, displaced by at most r.
+    An edit touches one segment and a swap two, as two plain edits do: so names
+    within r are within 2 r plain edits, and of 2 r + 1 segments one survives.
     """
-    parts, keys = 2 * radius + 1, set()
-    for length in range(max(0, len(name) - radius), len(name) + radius + 1):
-        for k, (a, b) in enumerate(_segments(length, parts)):
-            for shift in range(-radius, radius + 1):
-                if a + shift >= 0 and b + shift <= len(name):
-                    keys.add(f"{length}:{k}:{name[a + shift: b + shift]}")
+    return [f"{len(name)}:{k}:{name[a:b]}" for k, (a, b) in enumerate(_segments(len(name), 2 * radius + 1))]
+
+
+def asking_keys(name: str, radius: int) -> list[str]:
+    """The keys under which a name meets all held names within the radius that are no longer than it.
+
+    A surviving segment is displaced by no more than the edits before it and no
+    more than those behind it leave for the difference in length.
+    """
+    edits, n, keys = 2 * radius, len(name), set()
+    for length in range(max(0, n - radius), n + 1):
+        more = n - length
+        for k, (a, b) in enumerate(_segments(length, edits + 1)):
+            low = max(0, a - k, a + more - (edits - k))
+            high = min(n - (b - a), a + k, a + more + (edits - k))
+            keys |= {f"{length}:{k}:{name[x: x + b - a]}" for x in range(low, high + 1)}
     return sorted(keys)
 
 
 def parsed(names: DataFrame) -> DataFrame:
     """(name_domain, name, block, core, choices) of distinct (name_domain, name); ``block`` holds the closed parts.
 
-    A short form of several first names gives a row for each of them.
+    A short form of several first names gives rows for each of them, and a name
+    of several core words one for each order; ``choices`` counts the first names.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            rows = [
-                (d, n, "|".join((p.kind, p.series, person)), p.core, len(p.persons))
-                for d, n in zip(f["name_domain"], f["name"], strict=True) if (p := read(n)) is not None for person in p.persons
-            ]
+            rows = {
+                (d, n, "|".join((p.kind, p.series, person)), core, len(p.persons))
+                for d, n in zip(f["name_domain"], f["name"], strict=True) for p in readings(n) for person in p.persons for core in (p.core, p.ordered)
+            }
             columns = ("name_domain", "name", "block", "core", "choices")
-            yield frame(**{c: [r[i] for r in rows] for i, c in enumerate(columns)})
+            yield frame(**{c: [r[i] for r in sorted(rows)] for i, c in enumerate(columns)})
 
     return names.mapInPandas(run, "name_domain string, name string, block string, core string, choices int")
 
 
-def radius_join(cores: DataFrame, radius: int = RADIUS, cell: int = CELL, limit: int = BLOCK_LIMIT) -> DataFrame:
-    """(block, a, b): the pairs of cores of one block within the radius, each once with a < b.
+def radius_join(cores: DataFrame, radius: int = RADIUS, cell: int = CELL, chunk: int = CHUNK) -> DataFrame:
+    """(block, a, b): the pairs of cores of one block within the radius, each once with a < b. ``cores`` has distinct (block, core)."""
 
-    ``cores`` has distinct (block, core). Distances between unrelated names are
-    alike, so the more pivots a block has, the larger the part of it that each
-    cell repeats: beyond ``limit`` names a block is divided by the segments that
-    an edit leaves intact, which is as exact.
-    """
-    drawn = F.pmod(F.xxhash64("core"), F.lit(cell)) == 0
-    ranked = F.struct(F.xxhash64("core").alias("h"), F.col("core").alias("c"))
-    pivots = cores.groupBy("block").agg(F.min(ranked).alias("one"), F.collect_list(F.when(drawn, ranked)).alias("some"), F.count(F.lit(1)).alias("n")).select(
-        "block", "n", F.when(F.col("n") <= limit, F.array_sort(F.array_union(F.array("one"), "some"))["c"]).alias("pivots")
-    )
-
-    def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def keyed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            for block, g in f.groupby("block"):
-                if len(g["pivots"].iloc[0]) == 1:  # one cell: nothing to measure
-                    yield frame(block=g["block"], cell=[0] * len(g), core=g["core"], home=[True] * len(g))
-                    continue
-                codes, lengths = encode(list(g["core"]))
-                away = np.stack([distances(p, codes, lengths) for p in g["pivots"].iloc[0]], axis=1)
-                home = away.argmin(axis=1)
-                cells = away <= away.min(axis=1, keepdims=True) + 2 * radius
-                x, c = np.nonzero(cells)
-                core = np.array(list(g["core"]), dtype=object)
-                yield frame(block=[block] * len(x), cell=c, core=core[x], home=home[x] == c)
-
-    sized = cores.join(pivots, "block")
-    placed = spread(sized.filter(F.col("n").between(2, limit)).select("block", "core", "pivots"), "block").mapInPandas(assign, "block string, cell int, core string, home boolean")
-    # names of a large block meet only under a shared intact segment
-    keyed = F.udf(lambda core: segment_keys(core, radius), "array<string>")
-    large = spread(sized.filter(F.col("n") > limit).select("block", "core"), "block", "core").select(
-        "block", F.explode(keyed("core")).alias("part"), "core", F.lit(True).alias("home")
-    )
+            rows = [(f"{b}\x1f{k}", b, c, asks) for b, c in zip(f["block"], f["core"], strict=True) for asks, ks in ((False, held_keys(c, radius)), (True, asking_keys(c, radius))) for k in ks]
+            yield frame(key=[r[0] for r in rows], block=[r[1] for r in rows], core=[r[2] for r in rows], asks=[r[3] for r in rows])
+
+    # cores alone in their block have no partner: only others are keyed
+    several = cores.join(cores.groupBy("block").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select("block"), "block", "left_semi")
+    rows = written(spread(several, "block", "core").mapInPandas(keyed, "key string, block string, core string, asks boolean"))
+    sizes = rows.groupBy("key").agg(F.count_if(F.col("asks")).alias("asking"), F.count_if(~F.col("asks")).alias("held"))
+    # a group needs both sides, and more than one core
+    met = rows.join(sizes.filter("asking > 0 and held > 0 and asking + held > 2"), "key")
+    blocks = lambda n: F.ceil(F.col(n) / chunk).cast("int")
+    own = lambda n: F.pmod(F.xxhash64("core"), blocks(n)).cast("int")
+    every = lambda n: F.sequence(F.lit(0), blocks(n) - 1)
+    laid = met.withColumn("h", F.when(F.col("asks"), every("held")).otherwise(F.array(own("held")))).withColumn("q", F.when(F.col("asks"), F.array(own("asking"))).otherwise(every("asking")))
+    laid = laid.select("key", "block", "core", "asks", F.explode("h").alias("h"), "q").select("key", "block", "core", "asks", "h", F.explode("q").alias("q")).withColumn("tie", F.xxhash64("core"))
+
+    def join(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Groups come sorted, in each the held names first; a group holds at most a block of either side."""
+        at, block, held, asking = None, "", [], []
+
+        def done() -> pd.DataFrame:
+            pairs = close_pairs(held, asking, radius, cell) if held and asking else []
+            return frame(block=[block] * len(pairs), a=[p[0] for p in pairs], b=[p[1] for p in pairs])
 
-    def join(g: pd.DataFrame) -> pd.DataFrame:
-        pairs = close_pairs(list(g["core"]), list(g["home"]), radius)
-        return frame(block=[g["block"].iloc[0]] * len(pairs), a=[p[0] for p in pairs], b=[p[1] for p in pairs])
+        for f in frames:
+            found = []
+            for key, b, core, asks, h, q in zip(f["key"], f["block"], f["core"], f["asks"], f["h"], f["q"], strict=True):
+                if (key, h, q) != at:
+                    found.append(done())
+                    at, block, held, asking = (key, h, q), b, [], []
+                (asking if asks else held).append(core)
+            yield pd.concat(found) if found else frame(block=[], a=[], b=[])
+        yield done()
 
-    out = "block string, a string, b string"
-    pairs = spread(placed, "block", "cell").groupBy("block", "cell").applyInPandas(join, out)
-    return pairs.unionByName(spread(large, "block", "part").groupBy("block", "part").applyInPandas(join, out).distinct())
+    return spread(laid, "key", "h", "q").sortWithinPartitions("key", "h", "q", "asks", "tie", "core").mapInPandas(join, "block string, a string, b string").distinct()
 
 
 def classes(names: DataFrame) -> DataFrame:
     """(name_domain, name, class_id, links): each distinct name with its class and its number of direct links to other cores."""
-    read_names = checkpoint(parsed(names.filter("trim(name) != ''").distinct()).withColumn("block", F.concat_ws("|", "name_domain", "block")))
-    pairs = checkpoint(radius_join(read_names.select("block", "core").distinct()))
+    read_names = written(parsed(names.filter("trim(name) != ''").distinct()).withColumn("block", F.concat_ws("|", "name_domain", "block")))
+    pairs = written(radius_join(read_names.select("block", "core").distinct()))
     key = lambda c: F.concat_ws("\x1f", "block", c)
-    labels = components(pairs.select(key("a").alias("a"), key("b").alias("b")))
+    nodes = read_names.withColumn("node", key("core"))
+    # the readings of one name are one, but those of different persons stay apart
+    same = nodes.groupBy("name_domain", "name", F.when(F.col("choices") > 1, F.substring_index("block", "|", -1)).alias("person")).agg(F.min("node").alias("a"), F.collect_set("node").alias("all"))
+    same = same.filter("size(all) > 1").select("a", F.explode("all").alias("b")).filter("a != b")
+    labels = components(pairs.select(key("a").alias("a"), key("b").alias("b")).unionByName(same))
     degree = pairs.select(key("a").alias("node")).unionByName(pairs.select(key("b").alias("node"))).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
-    every = read_names.withColumn("node", key("core")).join(labels, "node", "left").join(degree, "node", "left").select(
-        "name_domain", "name", "block", "choices", F.coalesce("label", "node").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links")
+    every = nodes.join(labels, "node", "left").join(degree, "node", "left").groupBy("name_domain", "name", "choices", F.coalesce("label", "node").alias("class_id")).agg(
+        F.min("block").alias("block"), F.coalesce(F.max("links"), F.lit(0)).alias("links")
     )
     # a short form of several first names joins the class that a full name vouches for, else that of its first reading
     sure = every.filter("choices = 1")

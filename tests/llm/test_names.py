@@ -32,36 +32,55 @@ def test_distances_agree():
         assert [N.distance(p, w) for w in words] == want
 
 
-def test_segment_keys_keep_close_names_together():
+def test_names_within_the_radius_meet_under_a_segment():
     random.seed(4)
-    for _ in range(300):
-        a = "".join(random.choice("abcdefgh") for _ in range(random.randint(6, 18)))
+    for _ in range(1500):
+        a = "".join(random.choice("abcdefgh") for _ in range(random.randint(2, 18)))
         b = list(a)
         for _ in range(2):
-            i = random.randrange(len(b) - 1)
+            i = random.randrange(max(1, len(b) - 1))
             op = random.randrange(4)
             if op == 0:
-                b[i] = "z"
+                b[i: i + 1] = "z"
             elif op == 1:
-                del b[i]
+                del b[i: i + 1]
             elif op == 2:
                 b.insert(i, "q")
             else:
-                b[i], b[i + 1] = b[i + 1], b[i]
+                b[i: i + 2] = b[i: i + 2][::-1]
         b = "".join(b)
         if N.distance(a, b) <= 2:
-            assert set(N.segment_keys(a, 2)) & set(N.segment_keys(b, 2))
+            short, longer = sorted((a, b), key=len)
+            assert set(N.held_keys(short, 2)) & set(N.asking_keys(longer, 2)), (a, b)
 
 
-@pytest.mark.parametrize("limit", [10_000, 3])
-def test_radius_join_against_all_pairs(spark, limit):
+@pytest.mark.parametrize(("cell", "chunk"), [(10, 4_096), (3, 8), (256, 4_096)])
+def test_radius_join_against_all_pairs(spark, cell, chunk):
     random.seed(6)
     base = ["".join(random.choice(["kal", "ver", "mon", "tir", "sel"]) for _ in range(4)) for _ in range(40)]
-    near = [b[:3] + random.choice("xyz") + b[4:] for b in base] + [b[:5] + b[6:] for b in base]
-    cores = sorted({*base, *near})
+    near = [b[:3] + random.choice("xyz") + b[4:] for b in base] + [b[:5] + b[6:] for b in base] + [b[:1] + b[2] + b[1] + b[3:] for b in base]
+    short = ["abc", "abd", "abcd", "abce", "abcdef", "abcxyf", "abxdef", ""]
+    cores = sorted({*base, *near, *short})
     df = spark.createDataFrame([("m", c) for c in cores] + [("other", base[0])], "block string, core string")
-    got = {(r["a"], r["b"]) for r in N.radius_join(df, cell=10, limit=limit).filter("block = 'm'").collect()}
-    assert got == {(a, b) for a, b in itertools.combinations(cores, 2) if N.distance(a, b) <= 2}
+    got = {(r["a"], r["b"]) for r in N.radius_join(df, cell=cell, chunk=chunk).filter("block = 'm'").collect()}
+    assert got == {(a, b) for a, b in itertools.combinations(cores, 2) if N.distance(a, b) <= N.allowed(a, b)}
+    assert ("abcd", "abce") in got and ("abc", "abd") not in got and ("abcdef", "abcxyf") not in got
+
+
+def test_cells_lose_no_pair():
+    random.seed(8)
+    names = sorted({"".join(random.choice("abc") for _ in range(random.randint(7, 11))) for _ in range(300)})
+    want = {(a, b) for a, b in itertools.combinations(names, 2) if N.distance(a, b, 2) <= 2}
+    assert set(N.close_pairs(names, names, 2, cell=20)) == want
+
+
+def test_reordered_parts_and_typos_in_closed_parts(spark):
+    rows = ["ABC Fund II", "ABC Fnud II", "ABC Fund III", "Blue Harbor Capital", "Harbor Blue Capital", "Harbor, Blue Cap.", "Bob Smith", "Robert Smith", "William Smith", "Grant Capital", "Green Harbor Capital"]
+    df = spark.createDataFrame([("manager", r) for r in rows], "name_domain string, name string")
+    pairs = {(r["name_a"], r["name_b"]) for r in N.variants(N.classes(df)).collect()}
+    assert pairs == {
+        ("ABC Fnud II", "ABC Fund II"), ("Blue Harbor Capital", "Harbor Blue Capital"), ("Blue Harbor Capital", "Harbor, Blue Cap."), ("Harbor Blue Capital", "Harbor, Blue Cap."), ("Bob Smith", "Robert Smith"),
+    }
 
 
 def test_reading_and_classes(spark):
