@@ -108,6 +108,15 @@ def _descriptor(word: str) -> tuple[str | None, str | None]:
     return sure, None if sure or not near else near[0]
 
 
+@functools.lru_cache(maxsize=100_000)
+def _firsts(word: str) -> tuple[str, ...]:
+    """The first names that a word may stand for, long ones also if misspelled."""
+    known = _FIRSTS_OF.get(word)
+    if known is None and len(word) >= 6:
+        known = next(([f] for f in NICKNAMES if len(f) >= 6 and _near(word, f)), None)
+    return tuple(known or ())
+
+
 def read(name: str) -> Parts | None:
     """The parts of a name at its face, or None when nothing distinctive is in it."""
     found = readings(name)
@@ -137,11 +146,9 @@ def readings(name: str) -> list[Parts]:
             if known:
                 (form if known in LEGAL else kind).append(known)
                 continue
-            first = _FIRSTS_OF.get(w)
-            if first is None and len(w) >= 6:
-                first = next(([f] for f in NICKNAMES if len(f) >= 6 and _near(w, f)), None)
+            first = _firsts(w)
             if first and left > 1 and not persons:  # something distinctive stays
-                persons = tuple(first)
+                persons = first
                 continue
             core.append(w)
         if core:
@@ -248,12 +255,28 @@ def _in_cell(held: list[str], asking: list[str], radius: int) -> set[tuple[str,
     for a, counts in zip(asking, _letter_counts(asking, alphabet), strict=True):
         diff = h - counts
         near = np.maximum(np.maximum(diff, 0).sum(axis=1), np.maximum(-diff, 0).sum(axis=1)) <= radius
-        out |= {(min(a, held[i]), max(a, held[i])) for i in np.flatnonzero(near) if held[i] != a and distance(a, held[i], radius) <= allowed(a, held[i], radius)}
+        out |= {(min(a, held[i]), max(a, held[i])) for i in np.flatnonzero(near) if held[i] != a and _close(min(a, held[i]), max(a, held[i]), radius)}
     return out
 
 
+@functools.lru_cache(maxsize=100_000)
+def _letters(name: str) -> int:
+    """The set of a name's letters as bits; an edit changes two of them at most."""
+    out = 0
+    for c in name:
+        out |= 1 << (ord(c) & 63)
+    return out
+
+
+@functools.lru_cache(maxsize=200_000)
+def _close(a: str, b: str, radius: int) -> bool:
+    return distance(a, b, radius) <= allowed(a, b, radius)
+
+
 def close_pairs(held: list[str], asking: list[str], radius: int, cell: int = CELL) -> list[tuple[str, str]]:
     """Pairs of a held and an asking name within the radius, joined in the cells of pivots drawn from the held ones."""
+    if len(held) * len(asking) <= 4 * cell:  # one cell, few pairs
+        return sorted({(min(a, b), max(a, b)) for a in asking for b in held if a != b and (_letters(a) ^ _letters(b)).bit_count() <= 2 * radius and _close(min(a, b), max(a, b), radius)})
     if len(held) <= cell:
         return sorted(_in_cell(held, asking, radius))
     pivots = held[:: cell]  # held names come in order of a hash
@@ -334,39 +357,37 @@ def radius_join(cores: DataFrame, radius: int = RADIUS, cell: int = CELL, chunk:
     # cores alone in their block have no partner: only others are keyed
     several = cores.join(cores.groupBy("block").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select("block"), "block", "left_semi")
     rows = written(spread(several, "block", "core").mapInPandas(keyed, "key string, block string, core string, asks boolean"))
-    sizes = rows.groupBy("key").agg(F.count_if(F.col("asks")).alias("asking"), F.count_if(~F.col("asks")).alias("held"))
-    # a group needs both sides, and more than one core
-    met = rows.join(sizes.filter("asking > 0 and held > 0 and asking + held > 2"), "key")
-    blocks = lambda n: F.ceil(F.col(n) / chunk).cast("int")
-    own = lambda n: F.pmod(F.xxhash64("core"), blocks(n)).cast("int")
-    every = lambda n: F.sequence(F.lit(0), blocks(n) - 1)
-    laid = met.withColumn("h", F.when(F.col("asks"), every("held")).otherwise(F.array(own("held")))).withColumn("q", F.when(F.col("asks"), F.array(own("asking"))).otherwise(every("asking")))
+    # groups that may exceed a block on either side, by every 64th core; what is not cut is only slower
+    side = lambda asks: F.ceil(64 * F.count_if(F.col("asks") == asks) / chunk).cast("int")
+    some = rows.filter(F.pmod(F.xxhash64("core"), F.lit(64)) == 0).groupBy("key").agg(side(False).alias("n_held"), side(True).alias("n_asking"))
+    large = written(some.filter("n_held > 1 or n_asking > 1"))
+    own = lambda n: F.pmod(F.xxhash64("core"), F.col(n)).cast("int")
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    met = rows.join(large, "key", "left").withColumns({n: F.greatest(F.coalesce(n, F.lit(1)), F.lit(1)) for n in ("n_held", "n_asking")})
+    laid = met.withColumn("h", F.when(F.col("asks"), every("n_held")).otherwise(F.array(own("n_held")))).withColumn("q", F.when(F.col("asks"), F.array(own("n_asking"))).otherwise(every("n_asking")))
     laid = laid.select("key", "block", "core", "asks", F.explode("h").alias("h"), "q").select("key", "block", "core", "asks", "h", F.explode("q").alias("q")).withColumn("tie", F.xxhash64("core"))
 
     def join(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Groups come sorted, in each the held names first; a group holds at most a block of either side."""
         at, block, held, asking = None, "", [], []
-
-        def done() -> pd.DataFrame:
-            pairs = close_pairs(held, asking, radius, cell) if held and asking else []
-            return frame(block=[block] * len(pairs), a=[p[0] for p in pairs], b=[p[1] for p in pairs])
-
         for f in frames:
-            found = []
+            found: list[tuple[str, str, str]] = []
             for key, b, core, asks, h, q in zip(f["key"], f["block"], f["core"], f["asks"], f["h"], f["q"], strict=True):
                 if (key, h, q) != at:
-                    found.append(done())
+                    if held and asking:
+                        found += [(block, *p) for p in close_pairs(held, asking, radius, cell)]
                     at, block, held, asking = (key, h, q), b, [], []
                 (asking if asks else held).append(core)
-            yield pd.concat(found) if found else frame(block=[], a=[], b=[])
-        yield done()
+            yield frame(**{c: [x[i] for x in found] for i, c in enumerate(("block", "a", "b"))})
+        last = close_pairs(held, asking, radius, cell) if held and asking else []
+        yield frame(block=[block] * len(last), a=[p[0] for p in last], b=[p[1] for p in last])
 
     return spread(laid, "key", "h", "q").sortWithinPartitions("key", "h", "q", "asks", "tie", "core").mapInPandas(join, "block string, a string, b string").distinct()
 
 
 def classes(names: DataFrame) -> DataFrame:
     """(name_domain, name, class_id, links): each distinct name with its class and its number of direct links to other cores."""
-    read_names = written(parsed(names.filter("trim(name) != ''").distinct()).withColumn("block", F.concat_ws("|", "name_domain", "block")))
+    read_names = written(parsed(spread(names.filter("trim(name) != ''").distinct(), "name")).withColumn("block", F.concat_ws("|", "name_domain", "block")))
     pairs = written(radius_join(read_names.select("block", "core").distinct()))
     key = lambda c: F.concat_ws("\x1f", "block", c)
     nodes = read_names.withColumn("node", key("core"))
