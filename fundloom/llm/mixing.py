@@ -7,10 +7,11 @@ each integer that its stretch of the sum crosses. A document with e expected
 copies so comes out floor(e) or ceil(e) times, never above the cap, and as every stretch of sizes
 is drawn at the same rate the shares hold for tokens, not just documents.
 
-The sum is a two-level prefix sum: over the shards of a source (a row each:
-eight to a doubling of size, each divided ``spread`` times by a hash), then
-within a shard. A source holding any share of the rows is spread over all
-its shards.
+The sum is a two-level prefix sum over range partitions: documents are sorted
+by (source, size, hash) over all partitions, however they are distributed, each
+partition sums its own, and the sums before it - one row per partition and
+source - are added. So a source, or a size, that holds any share of the rows is
+spread over as many partitions as its rows ask for.
 
 Defined results: documents without a source, or of a source without a target,
 are not drawn; a source without documents or tokens reaches 0 and does not
@@ -23,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from fundloom.session import checkpoint
+
 EXACT = "decimal(38,12)"
 
 
@@ -41,21 +44,21 @@ def expected_copies(sizes: DataFrame, targets: DataFrame, total_tokens: int | No
     return both.withColumn("copies", F.coalesce(copies, F.lit(0.0)).cast("decimal(18,12)"))
 
 
-def draw(sizes: DataFrame, key: str, targets: DataFrame, seed: int = 20_260_101, total_tokens: int | None = None, spread: int = 4) -> DataFrame:
+def draw(sizes: DataFrame, key: str, targets: DataFrame, seed: int = 20_260_101, total_tokens: int | None = None) -> DataFrame:
     """(key, source, tokens, copy_no): one row per copy drawn. ``sizes`` has (key, source, tokens)."""
     wanted = expected_copies(sizes, targets, total_tokens).select("source", "copies", "max_repeats")
-    rows = sizes.join(F.broadcast(wanted), "source").withColumns({  # one row per source of the fixed table
-        "shard": (F.floor(F.log2(F.col("tokens") + 1) * 8) * spread + F.pmod(F.xxhash64(F.lit(seed), key), F.lit(spread))).cast("int"),
-        "order": F.struct("tokens", F.xxhash64(key, F.lit(seed + 1))),
-    })
-    per_shard = rows.groupBy("source", "shard").agg(F.sum(F.col("copies").cast(EXACT)).alias("in_shard"))
-    before = per_shard.select(
-        "source", "shard", F.coalesce(F.sum("in_shard").over(W.partitionBy("source").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).cast(EXACT).alias("before")
+    parts = int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["source", "tokens", "__tie", key]
+    rows = sizes.join(F.broadcast(wanted), "source").withColumn("__tie", F.xxhash64(key, F.lit(seed + 1)))  # one row per source of the fixed table
+    rows = checkpoint(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id()))
+    per_part = rows.groupBy("source", "__part").agg(F.sum(F.col("copies").cast(EXACT)).alias("in_part"))
+    # one row per source and partition, some of each source
+    before = per_part.select(
+        "source", "__part", F.coalesce(F.sum("in_part").over(W.partitionBy("source").orderBy("__part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).cast(EXACT).alias("before")
     )
-    upto = F.sum(F.col("copies").cast(EXACT)).over(W.partitionBy("source", "shard").orderBy("order", key).rowsBetween(W.unboundedPreceding, 0))
+    upto = F.sum(F.col("copies").cast(EXACT)).over(W.partitionBy("source", "__part").orderBy("tokens", "__tie", key).rowsBetween(W.unboundedPreceding, 0))
     offset = (F.pmod(F.xxhash64(F.lit(seed + 2), "source"), F.lit(1_000_000)) / 1_000_000).cast(EXACT)
-    # a shard's sums are few: one row per source and shard
-    summed = rows.withColumn("upto", upto).join(F.broadcast(before), ["source", "shard"]).withColumns({
+    summed = rows.withColumn("upto", upto).join(before, ["source", "__part"]).withColumns({
         "end": (F.col("before") + F.col("upto") + offset).cast(EXACT), "start": (F.col("before") + F.col("upto") - F.col("copies") + offset).cast(EXACT),
     })
     times = (F.floor("end") - F.floor("start")).cast("int")

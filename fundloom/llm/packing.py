@@ -5,15 +5,18 @@ and a container has a limit on each. A container is filled by the dot-product
 heuristic: of the items that fit, the one whose sizes point most along what the
 container has left goes in. An item is divided only if it alone exceeds the
 capacity; its full parts are containers of their own and the rest is an item.
-
-Items are spread over shards by a hash and each shard is packed in one task, as
-numbers only, so a shard is bounded (``shard_items``) at any corpus size.
-Containers that stay below ``good_fill`` are emptied again and their items
-packed anew in an eighth as many shards, until one shard is left: the waste of
-shard ends does not add up.
-
-Defined results: empty items (no tokens) take a segment but no room; an item
-whose loss-bearing tokens exceed their limit is divided by that limit; items
+An item within the capacity that alone exceeds the limit on loss-bearing tokens
+is a container of its own, too.
+
+Items are spread over shards by a hash, as many as their number asks for, and
+each shard is packed in one task, as numbers only: a shard holds ``shard_items``
+items, but for uneven hashing, on every level and at any corpus size.
+Containers that are full by none of their limits are emptied again and their
+items packed anew, in shards for the items left: the waste of shard ends does
+not add up. When a level places less than a tenth of its items - then it is the
+items' sizes that leave room, not the shards - what it packed stays.
+
+Defined results: empty items (no tokens) take a segment but no room; items
 are unique by key and part, so repeated texts are placed as often as they occur.
 """
 
@@ -27,8 +30,8 @@ from pyspark.sql import functions as F
 from fundloom.functions.frames import frame
 from fundloom.session import checkpoint, spread
 
-CAPACITY, MAX_SEGMENTS, MAX_LOSS = 2_048, 16, 2_048
-SHARD_ITEMS, GOOD_FILL, SHRINK = 20_000, 0.97, 8
+CAPACITY, MAX_SEGMENTS, MAX_LOSS = 2_048, 16, 1_920
+SHARD_ITEMS, GOOD_FILL, LEAST_GAIN = 20_000, 0.97, 0.1
 
 
 def pack(tokens: np.ndarray, loss: np.ndarray, capacity: int, max_segments: int, max_loss: int) -> np.ndarray:
@@ -64,13 +67,11 @@ def pack(tokens: np.ndarray, loss: np.ndarray, capacity: int, max_segments: int,
     return out
 
 
-def items(sizes: DataFrame, key: str, capacity: int, max_loss: int) -> DataFrame:
+def items(sizes: DataFrame, key: str, capacity: int) -> DataFrame:
     """(key, part, start, tokens, loss): the parts of each measured text; only oversized ones have several."""
     tokens, prompt = F.col("prompt_tokens") + F.col("answer_tokens"), F.col("prompt_tokens")
-    cut = F.lit(min(capacity, max_loss))
-    too_big = (tokens > capacity) | (F.col("answer_tokens") > max_loss)
-    width = F.when(too_big, cut).otherwise(tokens)
-    parts = F.when(too_big, F.ceil(tokens / cut)).otherwise(F.lit(1))
+    parts = F.when(tokens > capacity, F.ceil(tokens / capacity)).otherwise(F.lit(1))
+    width = F.when(tokens > capacity, F.lit(capacity)).otherwise(tokens)
     split = sizes.select(F.col(key), tokens.alias("all"), prompt.alias("prompt"), width.alias("width"), F.explode(F.sequence(F.lit(0), parts.cast("int") - 1)).alias("part"))
     start = F.col("part") * F.col("width")
     size = F.least(F.col("width"), F.col("all") - start)
@@ -86,37 +87,48 @@ def containers(
 ) -> DataFrame:
     """(container_id, key, part, start, tokens, loss): every item in its container."""
     kind = sizes.schema[key].dataType.simpleString()
-    todo = checkpoint(items(sizes, key, capacity, max_loss))
-    # full parts are containers of their own
-    done = todo.filter(F.col("tokens") == capacity).select(F.concat_ws("-", F.lit("f"), F.col(key).cast("string"), "part").alias("container_id"), key, "part", "start", "tokens", "loss")
-    todo = todo.filter(F.col("tokens") != capacity)
-    shards, level = max(1, -(-todo.count() // shard_items)), 0
+    todo = checkpoint(items(sizes, key, capacity))
+    # full parts, and items that no other may join, are containers of their own
+    alone = (F.col("tokens") == capacity) | (F.col("loss") >= max_loss)
+    done = todo.filter(alone).select(F.concat_ws("-", F.lit("f"), F.col(key).cast("string"), "part").alias("container_id"), key, "part", "start", "tokens", "loss")
+    todo, level = todo.filter(~alone), 0
+    left = todo.count()
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values(["tokens", "key", "part"])
-        n = pack(g["tokens"].to_numpy(), g["loss"].to_numpy(), capacity, max_segments, max_loss)
-        fill = np.bincount(n, weights=g["tokens"].to_numpy())[n] / capacity
+        tokens, loss = g["tokens"].to_numpy(), g["loss"].to_numpy()
+        n = pack(tokens, loss, capacity, max_segments, max_loss)
+        fill = np.maximum.reduce([np.bincount(n, weights=tokens) / capacity, np.bincount(n, weights=loss) / max_loss, np.bincount(n) / max_segments])[n]
         prefix = f"{level}-{g['shard'].iloc[0]}-"
         return frame(container_id=[prefix + str(i) for i in n], key=g["key"], part=g["part"], start=g["start"], tokens=g["tokens"], loss=g["loss"], fill=fill)
 
     while True:
+        shards = max(1, -(-left // shard_items))
         sharded = todo.select(
             F.col(key).alias("key"), "part", "start", "tokens", "loss", F.pmod(F.xxhash64(F.lit(level), key, "part"), F.lit(shards)).alias("shard")
         )
         packed = checkpoint(spread(sharded, "shard").groupBy("shard").applyInPandas(
             run, f"container_id string, key {kind}, part int, start bigint, tokens bigint, loss bigint, fill double"
         ).withColumnRenamed("key", key))
-        if shards == 1:
+        open_ = packed.filter(F.col("fill") < good_fill)
+        before, left = left, 0 if shards == 1 else open_.count()
+        if left == 0 or left > (1 - LEAST_GAIN) * before:
             return done.unionByName(packed.drop("fill"))
         done = done.unionByName(packed.filter(F.col("fill") >= good_fill).drop("fill"))
-        todo = packed.filter(F.col("fill") < good_fill).drop("fill", "container_id")
-        shards, level = max(1, shards // SHRINK), level + 1
+        todo, level = open_.drop("fill", "container_id"), level + 1
 
 
-def report(placed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """(containers, items, divided_items, tokens, unused_tokens, fill) over all containers."""
-    per = placed.groupBy("container_id").agg(F.sum("tokens").alias("t"), F.count(F.lit(1)).alias("n"), F.sum((F.col("part") > 0).cast("int")).alias("d"))
+def report(placed: DataFrame, capacity: int = CAPACITY, max_segments: int = MAX_SEGMENTS, max_loss: int = MAX_LOSS, good_fill: float = GOOD_FILL) -> DataFrame:
+    """(containers, items, divided_items, tokens, unused_tokens, fill, full_tokens, full_segments, full_loss) over all containers.
+
+    The last three count the containers that each limit binds: filled to ``good_fill`` of it.
+    """
+    per = placed.groupBy("container_id").agg(
+        F.sum("tokens").alias("t"), F.count(F.lit(1)).alias("n"), F.sum((F.col("part") > 0).cast("int")).alias("d"), F.sum("loss").alias("l")
+    )
+    binds = lambda c, limit: F.count_if(F.col(c) >= good_fill * limit)
     return per.agg(
         F.count(F.lit(1)).alias("containers"), F.sum("n").alias("items"), F.sum("d").alias("divided_items"), F.sum("t").alias("tokens"),
         (F.count(F.lit(1)) * capacity - F.sum("t")).alias("unused_tokens"), F.round(F.sum("t") / (F.count(F.lit(1)) * capacity), 6).alias("fill"),
+        binds("t", capacity).alias("full_tokens"), binds("n", max_segments).alias("full_segments"), binds("l", max_loss).alias("full_loss"),
     )

@@ -28,6 +28,35 @@ def test_containers(spark):
     assert packing.containers(sizes.limit(0), "doc_id").count() == 0
 
 
+def test_no_task_takes_more_than_a_shard(spark):
+    equal = spark.range(5_000).selectExpr("id as doc_id", "0L as prompt_tokens", "1300L as answer_tokens")  # two never fit, so no container is ever full
+    placed = packing.containers(equal, "doc_id", max_loss=2_048, shard_items=500)
+    shards = placed.selectExpr("substring_index(container_id, '-', 2) as s").groupBy("s").count().collect()
+    assert placed.count() == 5_000 and placed.select("container_id").distinct().count() == 5_000
+    assert len(shards) == 10 and max(r["count"] for r in shards) < 650
+    assert {r["s"].split("-")[0] for r in shards} == {"0"}  # a level that gains nothing is the last
+
+
+def test_limit_on_loss_binds_and_lonely_items_stay_whole(spark):
+    df = spark.createDataFrame([(i, 100, 300) for i in range(40)] + [(100, 0, 1_000)], "doc_id bigint, prompt_tokens bigint, answer_tokens bigint")
+    placed = packing.containers(df, "doc_id", capacity=1_000, max_segments=8, max_loss=650, shard_items=1_000)
+    per = {tuple(r) for r in placed.groupBy("container_id").agg(F.sum("loss"), F.count("*")).select("sum(loss)", "count(1)").distinct().collect()}
+    assert per == {(600, 2), (1_000, 1)}
+    got = packing.report(placed, 1_000, 8, 650, 0.9).first()
+    assert (got["full_loss"], got["full_segments"], got["divided_items"]) == (21, 0, 0)
+
+
+def test_one_source_of_one_size_is_spread(spark):
+    df = spark.range(4_000).selectExpr("id as doc_id", "'only' as source", "100L as tokens")
+    targets = spark.createDataFrame([("only", 1.0, 1)], "source string, target_share double, max_repeats int")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    drawn = mixing.draw(df, "doc_id", targets, total_tokens=100_000)
+    assert abs(drawn.count() - 1_000) <= 1
+    spread_over = drawn.groupBy(F.spark_partition_id()).count().count()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert spread_over > 1
+
+
 def test_mixture(spark):
     rng = np.random.default_rng(3)
     rows = [(i, s, int(x)) for i, (s, x) in enumerate((s, x) for s, n in (("big", 4000), ("mid", 900), ("small", 300)) for x in rng.lognormal(5, 1, n))] + [(99_999, None, 50), (99_998, "other", 50)]
