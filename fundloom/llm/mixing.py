@@ -9,8 +9,8 @@ is drawn at the same rate the shares hold for tokens, not just documents.
 
 The sum is a two-level prefix sum over range partitions: documents are sorted
 by (source, size, hash) over all partitions, however they are distributed, each
-partition sums its own, and the sums before it - one row per partition and
-source - are added. So a source, or a size, that holds any share of the rows is
+partition's sums - one row per partition and source in it - are added up, and
+each partition counts on from its own start. So a source, or a size, that holds any share of the rows is
 spread over as many partitions as its rows ask for.
 
 Defined results: documents without a source, or of a source without a target,
@@ -20,13 +20,18 @@ lower the others; repeated texts are documents like others.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fundloom.session import checkpoint
 
-EXACT = "decimal(38,12)"
+#: Copies are counted in billionths: a batch of any copies then fits an integer.
+DIGITS, UNIT = 9, 1_000_000_000
 
 
 def expected_copies(sizes: DataFrame, targets: DataFrame, total_tokens: int | None = None) -> DataFrame:
@@ -41,7 +46,7 @@ def expected_copies(sizes: DataFrame, targets: DataFrame, total_tokens: int | No
     feasible = F.min(F.when((F.col("source_tokens") > 0) & (F.col("target_share") > 0), F.col("max_repeats") * F.col("source_tokens") / F.col("target_share")))
     total = F.lit(total_tokens).cast("double") if total_tokens is not None else feasible.over(W.partitionBy(F.lit(1))).cast("double")
     copies = F.when(F.col("source_tokens") > 0, F.least(F.col("max_repeats").cast("double"), F.col("target_share").cast("double") * total / F.col("source_tokens")))
-    return both.withColumn("copies", F.coalesce(copies, F.lit(0.0)).cast("decimal(18,12)"))
+    return both.withColumn("copies", F.coalesce(copies, F.lit(0.0)).cast("decimal(18,9)"))
 
 
 def draw(sizes: DataFrame, key: str, targets: DataFrame, seed: int = 20_260_101, total_tokens: int | None = None) -> DataFrame:
@@ -51,18 +56,35 @@ def draw(sizes: DataFrame, key: str, targets: DataFrame, seed: int = 20_260_101,
     order = ["source", "tokens", "__tie", key]
     rows = sizes.join(F.broadcast(wanted), "source").withColumn("__tie", F.xxhash64(key, F.lit(seed + 1)))  # one row per source of the fixed table
     rows = checkpoint(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id()))
-    per_part = rows.groupBy("source", "__part").agg(F.sum(F.col("copies").cast(EXACT)).alias("in_part"))
-    # one row per source and partition, some of each source
-    before = per_part.select(
-        "source", "__part", F.coalesce(F.sum("in_part").over(W.partitionBy("source").orderBy("__part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).cast(EXACT).alias("before")
-    )
-    upto = F.sum(F.col("copies").cast(EXACT)).over(W.partitionBy("source", "__part").orderBy("tokens", "__tie", key).rowsBetween(W.unboundedPreceding, 0))
-    offset = (F.pmod(F.xxhash64(F.lit(seed + 2), "source"), F.lit(1_000_000)) / 1_000_000).cast(EXACT)
-    summed = rows.withColumn("upto", upto).join(before, ["source", "__part"]).withColumns({
-        "end": (F.col("before") + F.col("upto") + offset).cast(EXACT), "start": (F.col("before") + F.col("upto") - F.col("copies") + offset).cast(EXACT),
-    })
-    times = (F.floor("end") - F.floor("start")).cast("int")
-    return summed.withColumn("times", times).filter("times > 0").select(key, "source", "tokens", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy_no"))
+    # a row per partition and source in it, so no more than partitions and sources
+    sums = rows.groupBy("source", "__part").agg(F.sum((F.col("copies") * UNIT).cast("decimal(38,0)")).alias("s")).collect()
+    before: dict[tuple[str, int], int] = {}
+    reached = {r["source"]: r["o"] * (UNIT // 1_000_000) for r in wanted.select("source", F.pmod(F.xxhash64(F.lit(seed + 2), "source"), F.lit(1_000_000)).alias("o")).collect()}
+    for r in sorted(sums, key=lambda r: (r["source"], r["__part"])):
+        before[r["source"], r["__part"]] = reached[r["source"]]
+        reached[r["source"]] += int(r["s"])
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row per integer that a document's stretch of the sum crosses; partitions come sorted."""
+        at: dict[tuple[str, int], int] = dict(before)
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            copies = np.array([int(c.scaleb(DIGITS)) for c in t.column("copies").to_pylist()], dtype=np.int64)
+            source, part = np.array(t.column("source").to_pylist(), dtype=object), t.column("__part").to_numpy()
+            times = np.zeros(len(copies), dtype=np.int64)
+            turns = np.flatnonzero(np.r_[True, source[1:] != source[:-1]]) if len(copies) else np.array([], int)
+            for i, j in zip(turns, [*turns[1:], len(copies)], strict=True):
+                start = at[source[i], part[i]]
+                ends = start % UNIT + np.cumsum(copies[i:j])
+                times[i:j] = np.diff(np.r_[0, ends // UNIT])
+                at[source[i], part[i]] = start + int(copies[i:j].sum())
+            row = np.repeat(np.arange(len(copies)), times)
+            first = np.repeat(np.cumsum(times) - times, times)
+            out = t.select([key, "source", "tokens"]).take(pa.array(row)).append_column("copy_no", pa.array((np.arange(len(row)) - first + 1).astype(np.int32)))
+            yield from out.to_batches()
+
+    schema = rows.select(key, "source", "tokens").withColumn("copy_no", F.lit(1)).schema
+    return rows.select(key, "source", "tokens", "copies", "__part").mapInArrow(emit, schema)
 
 
 def shares(drawn: DataFrame, key: str, targets: DataFrame) -> DataFrame:
