@@ -1,10 +1,12 @@
 """Differences between two copies of a table by a column-by-bucket checksum matrix.
 
-Both sides are reduced, in one pass with map-side combine, to one row per key
-bucket holding for each column the sum of wide (two 64-bit) hashes of
+Both sides are scanned once as they are and reduced, with map-side combine, to
+one row per key bucket holding for each column the sums of wide hashes of
 (key, value). Sums are additive, so row order and partitioning do not matter
-and equal cells give equal sums. Only buckets with an unequal cell are read
-again and joined, and only their unequal columns are compared.
+and equal cells give equal sums; only these sums are shuffled. A repeated row
+counts as often as it occurs, so it can make a bucket unequal but not hide a
+difference. Only buckets with an unequal cell are read again and joined, repeats
+are settled there, and only their unequal columns are compared.
 
 Defined results:
 * rows are matched by the prepared key columns; a row repeated with the same
@@ -19,21 +21,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fundloom.session import written
 
-def _one_per_key(df: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
-    packed = F.struct(*[F.coalesce(F.col(f), F.lit("")).alias(f) for f in fields])
-    return df.groupBy(*keys).agg(F.min(packed).alias("v")).select(*keys, *[F.col("v")[f].alias(f) for f in fields])
+
+#: Rows that share a bucket: the matrix has so many times fewer rows than the table.
+BUCKET_ROWS = 32
 
 
 def checksums(df: DataFrame, keys: list[str], fields: list[str], buckets: int) -> DataFrame:
-    """One row per bucket: the row count hash and, per field, two additive 64-bit hash sums as decimals."""
-    wide = "decimal(38,0)"
-    sums = [F.sum(F.xxhash64(F.lit(0), *keys).cast(wide)).alias("__rows")]
-    for f in fields:
-        sums += [
-            F.sum(F.xxhash64(F.lit(1), *keys, f).cast(wide)).alias(f"{f}__1"),
-            F.sum(F.xxhash64(F.lit(2), f, *keys).cast(wide)).alias(f"{f}__2"),
-        ]
+    """One row per bucket: the sums of 64-bit hashes, in halves that can't overflow, of the keys and of each field with the keys."""
+    low = lambda h: F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF)))
+    high = lambda h: F.sum(F.shiftrightunsigned(h, 32))
+    sums = []
+    for i, f in enumerate(["__rows", *fields]):
+        values = [] if i == 0 else [F.coalesce(F.col(f), F.lit(""))]
+        h = F.xxhash64(F.lit(i), *keys, *values)
+        sums += [low(h).alias(f"{f}__1"), high(h).alias(f"{f}__2"), low(F.xxhash64(F.lit(-i), *values, *keys)).alias(f"{f}__3")]
     return df.groupBy(bucket_of(keys, buckets).alias("__bucket")).agg(*sums)
 
 
@@ -46,31 +49,30 @@ def unequal_cells(a: DataFrame, b: DataFrame, keys: list[str], fields: list[str]
     x, y = checksums(a, keys, fields, buckets).alias("x"), checksums(b, keys, fields, buckets).alias("y")
     joined = x.join(y, F.col("x.__bucket") == F.col("y.__bucket"), "full_outer")
     same = lambda c: F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}"))
-    names = [F.when(~(same(f"{f}__1") & same(f"{f}__2")), F.lit(f)) for f in fields]
-    rows_differ = F.when(~same("__rows"), F.lit("__rows"))
+    names = [F.when(~(same(f"{f}__1") & same(f"{f}__2") & same(f"{f}__3")), F.lit(f)) for f in ["__rows", *fields]]
     return joined.select(
-        F.coalesce("x.__bucket", "y.__bucket").alias("__bucket"), F.array_compact(F.array(rows_differ, *names)).alias("__fields")
+        F.coalesce("x.__bucket", "y.__bucket").alias("__bucket"), F.array_compact(F.array(*names)).alias("__fields")
     ).filter(F.size("__fields") > 0)
 
 
 def differences(
-    a: DataFrame, b: DataFrame, keys: list[str], fields: list[str], rows_per_bucket: int = 8, buckets: int | None = None
+    a: DataFrame, b: DataFrame, keys: list[str], fields: list[str], rows_per_bucket: int = BUCKET_ROWS, buckets: int | None = None
 ) -> DataFrame:
     """(*keys, diff_kind, field_name) with diff_kind ``missing_a``, ``missing_b`` or ``differs``.
 
     ``rows_per_bucket`` sets how finely unequal rows are located: the number of
     buckets grows with the rows, so that a bucket stays a few rows at any size.
     """
-    a, b = _one_per_key(a, keys, fields), _one_per_key(b, keys, fields)
     buckets = buckets or max(16, a.count() // rows_per_bucket)
-    cells = unequal_cells(a, b, keys, fields, buckets)
-    side = lambda df, tag: df.withColumn("__bucket", bucket_of(keys, buckets)).select(
-        "__bucket", *keys, F.lit(tag).alias("__side"), F.struct(*fields).alias("__v")
-    )
-    located = side(a, "a").unionByName(side(b, "b")).join(cells, "__bucket", "inner")
-    pairs = located.groupBy(*keys).agg(
-        F.max(F.when(F.col("__side") == "a", F.col("__v"))).alias("va"),
-        F.max(F.when(F.col("__side") == "b", F.col("__v"))).alias("vb"),
+    # written, so that its size is known: few unequal buckets are broadcast, and then no other row moves
+    cells = written(unequal_cells(a, b, keys, fields, buckets))
+
+    def side(df: DataFrame, tag: str) -> DataFrame:
+        tagged = df.withColumn("__bucket", bucket_of(keys, buckets)).join(cells, "__bucket")
+        return tagged.select(*keys, F.lit(tag).alias("__side"), F.struct(*[F.coalesce(F.col(f), F.lit("")).alias(f) for f in fields]).alias("__v"), "__fields")
+
+    pairs = side(a, "a").unionByName(side(b, "b")).groupBy(*keys).agg(
+        F.min(F.when(F.col("__side") == "a", F.col("__v"))).alias("va"), F.min(F.when(F.col("__side") == "b", F.col("__v"))).alias("vb"),
         F.first("__fields").alias("__fields"),
     )
     differing = F.array_compact(F.array(*[

@@ -16,6 +16,23 @@ def test_differences(spark):
     assert copies.differences(empty, b, ["k"], ["v", "w"]).filter("diff_kind = 'missing_a'").count() == 4
 
 
+def test_nearly_equal_copies_move_little(spark):
+    rows = spark.range(40_000).selectExpr("cast(id as string) as k", "repeat(md5(cast(id as string)), 4) as v", "'w' as w")
+    other = rows.withColumn("v", F.when(F.col("k") == "77", "changed").otherwise(F.col("v")))
+    before = set(copies.unequal_cells(rows, other, ["k"], ["v", "w"], 1_250).select("__fields").collect()[0][0])
+    assert before == {"v"}
+    found = copies.differences(rows, other, ["k"], ["v", "w"])
+    assert [tuple(r) for r in found.collect()] == [("77", "differs", "v")]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan  # unequal buckets are few: rows of others stay where they are
+
+
+def test_repeats_do_not_hide_or_make_differences(spark):
+    a = spark.createDataFrame([("1", "x"), ("1", "x"), ("2", "b"), ("2", "a"), ("3", "x"), ("3", "x")], "k string, v string")
+    b = spark.createDataFrame([("1", "x"), ("2", "a")], "k string, v string")
+    assert {tuple(r) for r in copies.differences(a, b, ["k"], ["v"]).collect()} == {("3", "missing_b", "")}
+
+
 def test_widen(spark):
     cells = spark.createDataFrame(
         [("e", "m", "1,200", 2), ("e", "m", "n/a", 1), ("e", "t", "b", 1), ("e", "t", "a", 1), ("f", "zzz", "1", 1), (None, "m", "(3)", 1), ("g", "m", None, 1)],
