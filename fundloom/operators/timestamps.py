@@ -8,7 +8,10 @@ Defined results:
   never occur, and unknown zones give null;
 * a local time that occurs twice and carries no offset is the first of the two;
 * a slashed date whose order is not given is read only if one part exceeds 12;
-* rows are kept one for one, repeated rows included.
+* rows are kept one for one, repeated rows included;
+* a second column tells how a form was reached: ``date``, ``instant`` (a stated
+  offset or one matching interval), ``first of two``, ``never occurs``,
+  ``unknown zone``, ``unreadable``; null for a null or blank text.
 """
 
 from __future__ import annotations
@@ -52,14 +55,15 @@ def _canonical(c: Column) -> Column:
 
 
 def normalise(df: DataFrame, raw: str, offsets: DataFrame, order: Column | None = None, local_zone: Column | None = None, out: str = "normal_form") -> DataFrame:
-    """``df`` with the normal form of the column ``raw``.
+    """``df`` with the normal form of the column ``raw`` and, in column ``<out>_status``, how it was reached.
 
     ``order`` (``MDY`` or ``DMY``) tells the order of slashed dates,
     ``local_zone`` the zone of times without one, both per row. ``offsets`` is
     :func:`fundloom.operators.zones.offset_table`. Names starting with ``__``
     are the operator's own.
     """
-    part = lambda i: F.regexp_extract("__t", WITH_TIME, i)
+    pieces = F.split(F.regexp_replace("__t", WITH_TIME, "$1\x1f$2\x1f$3\x1f$4\x1f$5\x1f$6"), "\x1f")
+    part = lambda i: F.get("__parts", F.lit(i - 1))
     slash = r"^(\d{1,2})/(\d{1,2})/(\d{4})$"
     n = lambda c: c.try_cast("int")
     x = df.withColumns({
@@ -67,7 +71,8 @@ def normalise(df: DataFrame, raw: str, offsets: DataFrame, order: Column | None
         "__order": order if order is not None else F.lit(None).cast("string"),
         "__local": F.lower(local_zone) if local_zone is not None else F.lit(None).cast("string"),
     })
-    x = x.withColumn("__timed", F.col("__t").rlike(WITH_TIME))
+    x = x.withColumn("__parts", pieces)
+    x = x.withColumn("__timed", F.size("__parts") == 6)
     x = x.withColumns({
         "__p": F.when(F.col("__timed"), part(1)).otherwise(F.col("__t")),
         "__h": F.when(F.col("__timed"), n(part(2))), "__m": F.when(F.col("__timed"), n(part(3))),
@@ -113,5 +118,10 @@ def normalise(df: DataFrame, raw: str, offsets: DataFrame, order: Column | None
         .when(F.size("__c") == 2, F.when(F.col("__mm").between(1, 12), F.format_string("%04d-%02d", "__y", "__mm")))
         .when(F.col("__y").isNotNull(), F.format_string("%04d", "__y"))
     )
+    status = (
+        F.when(F.trim(F.col(raw)) == "", None).when(F.col(raw).isNull(), None).when(F.col(out).isNotNull() & ~F.coalesce(F.col("__timed"), F.lit(False)), F.when(F.col("__epoch").isNotNull(), "instant").otherwise("date"))
+        .when(F.col(out).isNotNull(), F.when(F.col("__stated").isNull() & (F.col("__spans") > 1), "first of two").otherwise("instant"))
+        .when(F.col("__clock").isNotNull() & F.col("__spans").isNull(), "unknown zone").when(F.col("__clock").isNotNull() & (F.col("__spans") == 0), "never occurs").otherwise("unreadable")
+    )
     own = [c for c in x.columns if c.startswith("__")]
-    return x.withColumn(out, form).drop(*own)
+    return x.withColumn(out, form).withColumn(f"{out}_status", status).drop(*own)

@@ -15,8 +15,9 @@ ABBREVIATIONS = {
     "est": -300, "edt": -240, "cst": -360, "cdt": -300, "mst": -420, "mdt": -360, "pst": -480, "pdt": -420,
     "jst": 540, "sgt": 480, "hkt": 480,
 }
-#: Years for which intervals are built; local times outside them match none.
-FIRST_YEAR, LAST_YEAR = 1970, 2069
+#: Years for which intervals are built; the first reaches back and the last on without end.
+FIRST_YEAR, LAST_YEAR = 1900, 2199
+EVER = 1 << 60
 
 
 @functools.cache
@@ -37,7 +38,8 @@ def _intervals(zone: str, first: int, last: int) -> list[tuple[int, int, int]]:
             out.append((start + offset, high + offset, offset))
             start, offset, nxt = high, at(high), high
         t = nxt
-    out.append((start + offset, end + offset, offset))
+    out.append((start + offset, EVER, offset))
+    out[0] = (-EVER, *out[0][1:])
     return out
 
 
@@ -58,15 +60,24 @@ def offset_table(spark: SparkSession, zones: list[str], first: int = FIRST_YEAR,
     return spark.createDataFrame(rows, "zone string, year int, spans array<struct<begin:bigint,end:bigint,offset:int>>")
 
 
+def named_zones(texts: DataFrame, text: str) -> list[str]:
+    """The zones of the time zone database that texts name in full: at most as many as it has."""
+    known = texts.sparkSession.createDataFrame([(z.lower(),) for z in sorted(zoneinfo.available_timezones())], "zone string")
+    said = texts.filter(F.col(text).contains("/")).select(F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"([a-z_]+(?:/[a-z0-9_+-]+)+)"), 1)).alias("zone"))
+    return sorted(r["zone"] for r in said.groupBy("zone").agg(F.count(F.lit(1))).join(F.broadcast(known), "zone", "left_semi").select("zone").collect())
+
+
 def with_offset(df: DataFrame, offsets: DataFrame, zone: str, year: str, local: str, out: str = "__offset") -> DataFrame:
-    """``df`` with the offset in seconds of its local time (seconds since 1970 on the local clock).
+    """``df`` with the offset in seconds of its local time (seconds since 1970 on the local clock), and in ``__spans`` the number of intervals it lies in.
 
     One matching interval gives the offset. Two mean the time occurs twice; the
     first of the two instants has the larger offset. None means the time never
-    occurs (or the zone is unknown): null.
+    occurs: null. A zone that is not known has a null number.
     """
-    joined = df.join(
-        F.broadcast(offsets.select(F.col("zone").alias(zone), F.col("year").alias(year), F.col("spans").alias("__spans"))), [zone, year], "left"
+    held = F.greatest(F.least(F.col(year), F.lit(LAST_YEAR)), F.lit(FIRST_YEAR))
+    joined = df.withColumn("__held", held).join(
+        F.broadcast(offsets.select(F.col("zone").alias(zone), F.col("year").alias("__held"), F.col("spans").alias("__all"))), [zone, "__held"], "left"
     )
-    hits = F.filter("__spans", lambda s: (s["begin"] <= F.col(local)) & (F.col(local) < s["end"]))
-    return joined.withColumn(out, F.array_max(F.transform(hits, lambda s: s["offset"]))).drop("__spans")
+    hits = F.filter("__all", lambda s: (s["begin"] <= F.col(local)) & (F.col(local) < s["end"]))
+    found = joined.withColumn("__hits", hits).withColumns({out: F.array_max(F.transform("__hits", lambda s: s["offset"])), "__spans": F.when(F.col("__hits").isNotNull(), F.size("__hits"))})
+    return found.drop("__all", "__hits", "__held")

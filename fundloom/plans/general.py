@@ -176,32 +176,22 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 # ------------------------------------------------------- 5 printed dates and times
 
 
-def _zones(spark: SparkSession, d: str) -> DataFrame:
-    """Offsets of the zones of source_calendar (a fixed table) and of those that texts may name."""
-    named = [r[0] for r in table(spark, d, "source_calendar").select("local_zone").distinct().collect()]
-    return zones.offset_table(spark, [*named, *TEXT_ZONES])
-
-
-#: Zones that printed times may name in full.
-TEXT_ZONES = ["UTC", "America/New_York", "America/Chicago", "America/Denver", "America/Los_Angeles", "Europe/London", "Europe/Berlin",
-              "Europe/Paris", "Europe/Zurich", "Asia/Tokyo", "Asia/Singapore", "Asia/Hong_Kong", "Australia/Sydney"]
+def p5_forms(spark: SparkSession, d: str) -> DataFrame:
+    """(record_table, record_id, field_name, raw, normal_form, status) of every printed date and time, read or not."""
+    calendar = table(spark, d, "source_calendar")  # a fixed table
+    positions = table(spark, d, "fund_position").select("position_id", "date_raw", "source_document_id").filter("date_raw is not null")
+    loans = table(spark, d, "investment_instrument").select("instrument_id", "maturity_date_raw").filter("maturity_date_raw is not null")
+    named = zones.named_zones(positions.select(F.col("date_raw").alias("t")).unionByName(loans.select(F.col("maturity_date_raw").alias("t"))), "t")
+    local = [r[0] for r in calendar.select("local_zone").distinct().collect()]
+    offsets = zones.offset_table(spark, ["UTC", *local, *named])
+    dated = timestamps.normalise(positions.join(F.broadcast(calendar), "source_document_id", "left"), "date_raw", offsets, F.col("date_order"), F.col("local_zone"))
+    matured = timestamps.normalise(loans, "maturity_date_raw", offsets)
+    row = lambda df, t, key, c: df.select(F.lit(t).alias("record_table"), F.col(key).alias("record_id"), F.lit(c).alias("field_name"), F.col(c).alias("raw"), "normal_form", F.col("normal_form_status").alias("status"))
+    return row(dated, "fund_position", "position_id", "date_raw").unionByName(row(matured, "investment_instrument", "instrument_id", "maturity_date_raw"))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    offsets = _zones(spark, d)
-    sources = F.broadcast(table(spark, d, "source_calendar"))
-    positions = table(spark, d, "fund_position").select("position_id", "date_raw", "source_document_id").filter("date_raw is not null")
-    found = timestamps.normalise(
-        positions.join(sources, "source_document_id", "left"), "date_raw", offsets, F.col("date_order"), F.col("local_zone")
-    ).filter("normal_form != date_raw").select(
-        F.lit("fund_position").alias("record_table"), F.col("position_id").alias("record_id"), F.lit("date_raw").alias("field_name"), "normal_form"
-    )
-    loans = table(spark, d, "investment_instrument").select("instrument_id", "maturity_date_raw").filter("maturity_date_raw is not null")
-    maturities = timestamps.normalise(loans, "maturity_date_raw", offsets).filter("normal_form != maturity_date_raw").select(
-        F.lit("investment_instrument").alias("record_table"), F.col("instrument_id").alias("record_id"),
-        F.lit("maturity_date_raw").alias("field_name"), "normal_form",
-    )
-    return found.unionByName(maturities).distinct()
+    return p5_forms(spark, d).filter("normal_form != raw").select("record_table", "record_id", "field_name", "normal_form").distinct()
 
 
 # -------------------------------------------------- 4 quantities in common units

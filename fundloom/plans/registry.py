@@ -17,7 +17,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p1_hierarchies_whole": general.p1_hierarchies_whole,
         "p4_found": general.p4_found,
         "p4_units": general.p4_units,
+        "p4_unit_holdout": general.p4_unit_holdout,
         "p5_found": general.p5_found,
+        "p5_forms": general.p5_forms,
         "p6_found": general.p6_found,
         "p7_found": general.p7_found,
         "p7_wide": general.p7_wide,

@@ -40,3 +40,17 @@ def test_local_times_against_the_zone_database(spark):
         utc = t.replace(tzinfo=z, fold=0).astimezone(dt.timezone.utc)
         want = f"{utc:%Y-%m-%dT%H:%M:%SZ}" if utc.astimezone(z).replace(tzinfo=None) == t else None
         assert r["normal_form"] == want
+
+
+def test_any_year_any_zone_and_how_it_was_reached(spark):
+    cases = {
+        "1950-07-01 12:00 America/New_York": ("1950-07-01T16:00:00Z", "instant"), "2150-01-15 12:00 Europe/Berlin": ("2150-01-15T11:00:00Z", "instant"), "2300-01-15 12:00 Europe/Berlin": ("2300-01-15T11:00:00Z", "instant"),
+        "1850-01-15 12:00 UTC": ("1850-01-15T12:00:00Z", "instant"), "2015-06-30 10:00 Asia/Kolkata": ("2015-06-30T04:30:00Z", "instant"), "2015-06-30 10:00 America/Toronto": ("2015-06-30T14:00:00Z", "instant"),
+        "2015-10-25 02:30 Europe/Berlin": ("2015-10-25T00:30:00Z", "first of two"), "2015-03-29 02:30 Europe/Berlin": (None, "never occurs"), "2015-03-29 02:30 Middle/Earth": (None, "unknown zone"),
+        "30 June 2015": ("2015-06-30", "date"), "1421124448": ("2015-01-13T04:47:28Z", "instant"), "TBD": (None, "unreadable"), "31 Feb 2015": (None, "unreadable"), " ": (None, None),
+    }
+    df = spark.createDataFrame([(k,) for k in cases] + [(None,)], "raw string")
+    named = zones.named_zones(df, "raw")
+    assert {"asia/kolkata", "america/toronto", "europe/berlin"} <= set(named) and "middle/earth" not in named
+    got = {r["raw"]: (r["normal_form"], r["normal_form_status"]) for r in timestamps.normalise(df, "raw", zones.offset_table(spark, ["UTC", *named])).collect()}
+    assert got == cases | {None: (None, None)}
