@@ -9,8 +9,9 @@ left runs into a cycle.
 
 Defined results:
 * a null, blank or unknown parent makes the node its own root (depth 0);
-* a node stated with several parents takes the smallest one in byte order,
-  repeated rows count once; a null or blank node id is no node;
+* a node stated with several parents takes the smallest one in byte order, the
+  others are listed by :func:`other_parents`; repeated rows count once; a null
+  or blank node id is no node;
 * an empty table gives an empty result;
 * a node on a cycle, or below one, has root ``CYCLE`` and depth -1, and its
   path is null; :func:`descendants` leaves it out, :func:`lineage` lists it too.
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fundloom.operators.skew import join_unique
-from fundloom.session import checkpoint
+from fundloom.session import written
 
 CYCLE = "CYCLE"
 
@@ -42,6 +43,13 @@ def links(df: DataFrame, hierarchy: str, node: str, parent: str, parents_are_nod
     )
 
 
+def other_parents(df: DataFrame, hierarchy: str, node: str, parent: str) -> DataFrame:
+    """(hierarchy, node, parent, other): each link that :func:`links` leaves out, with the parent it takes."""
+    stated = df.select(_blank_to_null(node).alias("node"), _blank_to_null(parent).alias("other")).filter("node is not null and other is not null").distinct()
+    kept = stated.groupBy("node").agg(F.min("other").alias("parent"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    return stated.join(kept, "node").filter("other != parent").select(F.lit(hierarchy).alias("hierarchy"), "node", "parent", "other")
+
+
 def _pending(state: DataFrame, share: float, least: int) -> tuple[int, list[tuple]]:
     """Unresolved rows and the pointers that at least ``share`` of them have (at most 1/share)."""
     counts = state.filter("not done").groupBy("hierarchy", "ptr").agg(F.count(F.lit(1)).alias("n"))
@@ -88,21 +96,33 @@ def resolve(edges: DataFrame, with_path: bool = True, share: float = 1 / 64, lea
             F.col("end").alias("done"), *path,
         )
 
-    state = checkpoint(state)
-    left, hot = _pending(state, share, least)
+    start = written(state)
+    finished, waiting = [start.filter("done")], start.filter("not done")  # what is resolved is set aside and not written again
+
+    def everything(parts: list[DataFrame]) -> DataFrame:
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    left, hot = _pending(waiting, share, least)
     while left:
-        state = checkpoint(state.filter("done").unionByName(moved(state.filter("not done"), state, hot)))
-        before = left
-        left, hot = _pending(state, share, least)
+        step = written(moved(waiting, everything([*finished, waiting]), hot))
+        finished.append(step.filter("done"))
+        waiting, before = step.filter("not done"), left
+        left, hot = _pending(waiting, share, least)
         if left == before:
             break
     if with_walk and left:  # a cycle may be longer than every chain: double among its nodes until each walk repeats one
-        cyclic = state.filter("not done")
-        left, hot = _pending(cyclic.filter("size(path) = depth"), share, least)
+        ended, open_ = [waiting.filter("size(path) < depth")], waiting.filter("size(path) = depth")
+        left, hot = _pending(open_, share, least)
         while left:
-            cyclic = checkpoint(cyclic.filter("size(path) < depth").unionByName(moved(cyclic.filter("size(path) = depth"), cyclic, hot)))
-            left, hot = _pending(cyclic.filter("size(path) = depth"), share, least)
-        state = state.filter("done").unionByName(cyclic)
+            step = written(moved(open_, everything([*ended, open_]), hot))
+            ended.append(step.filter("size(path) < depth"))
+            open_ = step.filter("size(path) = depth")
+            left, hot = _pending(open_, share, least)
+        waiting = everything([*ended, open_])
+    state = everything([*finished, waiting])
     return state.select(
         "hierarchy", "node",
         F.when(F.col("done"), F.col("ptr")).otherwise(CYCLE).alias("root"),

@@ -58,6 +58,15 @@ def p1_descendants(spark: SparkSession, d: str) -> DataFrame:
     return hierarchy.lineage(hierarchy.resolve(all_links(spark, d), with_walk=True))
 
 
+def p1_other_parents(spark: SparkSession, d: str) -> DataFrame:
+    """The links of nodes with several parents that the hierarchies leave out."""
+    parts = [hierarchy.other_parents(table(spark, d, h), h, node, parent) for h, node, parent, _ in HIERARCHIES]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("hierarchy", F.col("node").alias("node_id"), F.col("parent").alias("parent_id"), F.col("other").alias("other_parent_id"))
+
+
 def p1_hierarchies_whole(spark: SparkSession, d: str) -> DataFrame:
     """p1_hierarchies with the descendants of every node, on and below cycles too."""
     whole = hierarchy.resolve(all_links(spark, d), with_walk=True)

@@ -38,6 +38,13 @@ SELECT r.h AS hierarchy, r.n AS node_id, COALESCE(r.root,'CYCLE') AS root_id, CA
 FROM r JOIN paths ON paths.h=r.h AND paths.n=r.n JOIN below ON below.h=r.h AND below.n=r.n"""
 
 
+P1_OTHER_PARENTS = " UNION ALL ".join(
+    f"SELECT DISTINCT '{h}' AS hierarchy, a.{n} AS node_id, b.m AS parent_id, a.{p} AS other_parent_id FROM {h} a JOIN (SELECT {n}, MIN({p}) AS m FROM {h} WHERE trim({p})<>'' GROUP BY 1) b ON b.{n}=a.{n}"
+    f" WHERE trim(a.{n})<>'' AND trim(a.{p})<>'' AND a.{p}<>b.m"
+    for h, n, p in (("investment_owner", "owner_id", "parent_owner_id"), ("investment_target", "target_id", "parent_target_id"), ("blocks", "block_id", "parent_id"), ("lookthrough_edge", "child_position_id", "parent_position_id"))
+)
+
+
 def _number(c: str) -> str:
     s = f"translate(regexp_replace({c}, '\\s+', '', 'g'), '−–‒', '---')"
     s = f"regexp_replace({s}, '(?i)(US\\$|C\\$|CA\\$|A\\$|AU\\$|[$€£¥]|USD|EUR|GBP|GBX|JPY|CAD|CHF|AUD|SEK|Sfr\\.?)|%', '', 'g')"
@@ -139,4 +146,4 @@ UNION ALL SELECT DISTINCT 'quality_source_exceptions', observation_id, 'printed_
 UNION ALL SELECT DISTINCT 'quality_source_exceptions', observation_id, 'printed_value', 'bps', {half("v*CASE WHEN p LIKE '%bps%' THEN 1 WHEN p LIKE '%\\%%' ESCAPE '\\' THEN 100 WHEN note LIKE '%decimal fraction%' THEN 10000 ELSE 100 END")} FROM z WHERE field='reported_irr'"""
 
 
-SQL = {"p1_found": P1_FOUND, "p1_hierarchies": P1_HIERARCHIES, "p1_descendants": P1_DESCENDANTS, "p1_hierarchies_whole": P1_HIERARCHIES_WHOLE, "p4_found": _p4(), "p6_found": _p6(), "p7_found": _p7()}
+SQL = {"p1_found": P1_FOUND, "p1_hierarchies": P1_HIERARCHIES, "p1_descendants": P1_DESCENDANTS, "p1_hierarchies_whole": P1_HIERARCHIES_WHOLE, "p1_other_parents": P1_OTHER_PARENTS, "p4_found": _p4(), "p6_found": _p6(), "p7_found": _p7()}

@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p1_found": general.p1_found,
         "p1_hierarchies": general.p1_hierarchies,
         "p1_descendants": general.p1_descendants,
+        "p1_other_parents": general.p1_other_parents,
         "p1_hierarchies_whole": general.p1_hierarchies_whole,
         "p4_found": general.p4_found,
         "p4_units": general.p4_units,

@@ -67,3 +67,20 @@ def test_lineage_on_and_below_cycles(spark):
         whole = hierarchy.resolve(links, share=0.05, least=least, with_walk=True)
         got = [(r["ancestor"], r["descendant"], r["distance"]) for r in hierarchy.lineage(whole).collect()]
         assert sorted(got) == sorted(want)
+
+
+def test_other_parents_are_listed(spark):
+    from fundloom.operators import hierarchy as H
+
+    df = spark.createDataFrame([("n", "a"), ("n", "b"), ("n", "b"), ("n", " "), ("m", "a"), (None, "a"), ("m", None)], "id string, up string")
+    assert [tuple(r) for r in H.other_parents(df, "h", "id", "up").collect()] == [("h", "n", "a", "b")]
+
+
+def test_components_with_a_hub(spark, monkeypatch):
+    from fundloom.operators import components as C
+
+    links = [("hub", f"x{i}") for i in range(300)] + [("a", "b"), ("b", "c"), ("c", "c"), ("d", None)]
+    df = spark.createDataFrame(links, "a string, b string")
+    monkeypatch.setattr(C, "hot_keys", lambda df, keys: [("hub",)])
+    got = {r["node"]: r["label"] for r in C.components(df).collect()}
+    assert len({got[f"x{i}"] for i in range(300)} | {got["hub"]}) == 1 and got["a"] == got["b"] == got["c"] == "a" and "d" not in got
