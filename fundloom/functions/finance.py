@@ -18,26 +18,39 @@ def xnpv(flows: Column, rate: Column | float) -> Column:
 
 
 def solve(days: np.ndarray, amounts: np.ndarray) -> float | None:
-    """Rate at which the flows' present value is zero: expanding bracket, then bisection; None without a sign change."""
+    """Rate at which the flows' present value is zero; None without a sign change.
+
+    The bracket is doubled until it holds the root; Newton steps are taken while
+    they stay inside the bracket, which each value narrows, and halves of it else.
+    """
     if len(days) < 2 or not (amounts > 0).any() or not (amounts < 0).any():
         return None
     years = (days - days[0]) / DAYS
-    value = lambda r: float(np.sum(amounts / (1 + r) ** years))
+    value = lambda r: float(np.sum(amounts * (1 + r) ** -years))
     low, high = -0.999999, 1.0
     at_low = value(low)
     while at_low * value(high) > 0:
         high = 2 * high + 1
         if high > 1e6:
             return None
+    rate = 0.1 if low < 0.1 < high else (low + high) / 2
     for _ in range(250):
-        mid = (low + high) / 2
-        if at_low * value(mid) <= 0:
-            high = mid
+        v = value(rate)
+        if at_low * v <= 0:
+            high = rate
         else:
-            low = mid
-        if high - low < 1e-12:
+            low = rate
+        if high - low < 1e-12 or v == 0:
+            break
+        slope = float(np.sum(-years * amounts * (1 + rate) ** (-years - 1)))
+        new = rate - v / slope if slope else low
+        if not low < new < high:
+            new = (low + high) / 2
+        if abs(new - rate) < 1e-13 * max(1.0, abs(rate)):
+            rate = new
             break
-    return (low + high) / 2
+        rate = new
+    return rate
 
 
 def with_xirr(df: DataFrame, flows: str, out: str = "xirr") -> DataFrame:

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from fundloom.functions import finance, ids, labels
 from fundloom.functions.numbers import printed_number
-from fundloom.operators import asof, relational, retrieval
+from fundloom.operators import asof, performance, relational, retrieval
+from fundloom.operators.order_statistics import numbered, quantiles
 from fundloom.sources import files
 from fundloom.sources.tables import table
 from fundloom.streaming import windows
@@ -79,10 +80,9 @@ def same_day_flows(spark, d):
 def ks_pme(spark, d):
     """Public market equivalent per position: flows carried to the end at the benchmark level as of their date."""
     levels = benchmark(spark, d)
-    final = levels.agg(F.max_by("level", "d").alias("final"))
-    # the benchmark has a row a month, whatever the size of the flows
-    spans = levels.select(F.col("d").alias("from"), F.coalesce(F.lead("d").over(W.orderBy("d")), F.lit("9999-12-31").cast("date")).alias("to"), "level")
-    v = flows(spark, d).join(F.broadcast(spans), (F.col("d") >= F.col("from")) & (F.col("d") < F.col("to"))).crossJoin(F.broadcast(final))
+    final = levels.agg(F.max_by("level", "d").alias("final"))  # one row
+    own = flows(spark, d)
+    v = own.join(F.broadcast(performance.levels_as_of(own, "d", levels)), "d").crossJoin(F.broadcast(final))  # a row a calendar day at most
     grown = F.col("amount") * F.col("final") / F.col("level")
     put, got = F.sum(F.when(F.col("amount") < 0, -grown).otherwise(0.0)), F.sum(F.when(F.col("amount") > 0, grown).otherwise(0.0))
     return v.groupBy("position").agg(F.round(got, 2).alias("fv_distributions"), F.round(put, 2).alias("fv_calls"), F.round(got / F.nullif(put, F.lit(0.0)), 6).alias("ks_pme"))
@@ -294,8 +294,8 @@ def resolution_coverage(spark, d):
 
 @query("""SELECT p_type, COUNT(*) AS n, MIN(p_retailprice) AS low, quantile_cont(p_retailprice,0.25) AS p25, quantile_cont(p_retailprice,0.5) AS p50, quantile_cont(p_retailprice,0.75) AS p75, MAX(p_retailprice) AS high FROM part GROUP BY 1""")
 def distribution_summary(spark, d):
-    q = lambda p: F.percentile("p_retailprice", p)
-    return table(spark, d, "part").groupBy("p_type").agg(F.count(F.lit(1)).alias("n"), F.min("p_retailprice").alias("low"), q(0.25).alias("p25"), q(0.5).alias("p50"), q(0.75).alias("p75"), F.max("p_retailprice").alias("high"))
+    q = quantiles(table(spark, d, "part").select("p_type", "p_retailprice"), ["p_type"], "p_retailprice", {"low": 0.0, "p25": 0.25, "p50": 0.5, "p75": 0.75, "high": 1.0})
+    return q.select("p_type", "n", "low", "p25", "p50", "p75", "high")
 
 
 @query("""WITH h AS (SELECT l_suppkey, p_type, SUM(l_extendedprice) AS v FROM lineitem JOIN part ON p_partkey=l_partkey GROUP BY 1,2), s AS (SELECT *, v/SUM(v) OVER (PARTITION BY l_suppkey) AS w, ROW_NUMBER() OVER (PARTITION BY l_suppkey ORDER BY v DESC, p_type) AS rn FROM h)
@@ -312,15 +312,15 @@ def concentration(spark, d):
  SELECT c_custkey, ROUND((c_acctbal-med)/(1.4826*mad),6) AS robust_z FROM customer JOIN x USING(c_mktsegment)""")
 def robust_z(spark, d):
     c = table(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
-    med = c.groupBy("c_mktsegment").agg(F.percentile("c_acctbal", 0.5).alias("med"))
-    dev = c.join(F.broadcast(med), "c_mktsegment")  # a row per segment
-    mad = dev.groupBy("c_mktsegment").agg(F.percentile(F.abs(F.col("c_acctbal") - F.col("med")), 0.5).alias("mad"))
-    return dev.join(F.broadcast(mad), "c_mktsegment").select("c_custkey", F.round((F.col("c_acctbal") - F.col("med")) / (1.4826 * F.col("mad")), 6).alias("robust_z"))
+    med = quantiles(c, ["c_mktsegment"], "c_acctbal", {"med": 0.5}).select("c_mktsegment", "med")
+    dev = c.join(med, "c_mktsegment")
+    mad = quantiles(dev.withColumn("away", F.abs(F.col("c_acctbal") - F.col("med"))), ["c_mktsegment"], "away", {"mad": 0.5}).select("c_mktsegment", "mad")
+    return dev.join(mad, "c_mktsegment").select("c_custkey", F.round((F.col("c_acctbal") - F.col("med")) / (1.4826 * F.col("mad")), 6).alias("robust_z"))
 
 
 @query("""WITH s AS (SELECT c_nationkey, c_acctbal AS y, ROW_NUMBER() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS x FROM customer) SELECT c_nationkey, ROUND(regr_slope(y,x),6) AS slope, ROUND(AVG(CASE WHEN y>5000 THEN 1.0 ELSE 0.0 END),6) AS above, ROUND(stddev_samp(y),4) AS sd FROM s GROUP BY 1""")
 def consistency_and_slope(spark, d):
-    s = table(spark, d, "customer").select("c_nationkey", F.col("c_acctbal").alias("y"), F.row_number().over(W.partitionBy("c_nationkey").orderBy("c_custkey")).cast("double").alias("x"))
+    s = numbered(table(spark, d, "customer").select("c_nationkey", "c_custkey", F.col("c_acctbal").alias("y")), ["c_nationkey"], ["c_custkey"], "x").withColumn("x", F.col("x").cast("double"))
     return s.groupBy("c_nationkey").agg(F.round(F.regr_slope("y", "x"), 6).alias("slope"), F.round(F.avg(F.when(F.col("y") > 5000, 1.0).otherwise(0.0)), 6).alias("above"), r4(F.stddev_samp("y")).alias("sd"))
 
 
@@ -414,17 +414,19 @@ def genealogy(spark, d):
 @query("""WITH q AS (SELECT p_type, quantile_cont(p_retailprice,0.3333) AS a, quantile_cont(p_retailprice,0.6667) AS b FROM part GROUP BY 1) SELECT p_partkey, CASE WHEN p_retailprice<=a THEN 'small' WHEN p_retailprice<=b THEN 'mid' ELSE 'large' END AS band FROM part JOIN q USING(p_type)""")
 def size_bands(spark, d):
     parts = table(spark, d, "part")
-    q = parts.groupBy("p_type").agg(F.percentile("p_retailprice", 0.3333).alias("a"), F.percentile("p_retailprice", 0.6667).alias("b"))
-    return parts.join(F.broadcast(q), "p_type").select("p_partkey", F.when(F.col("p_retailprice") <= F.col("a"), "small").when(F.col("p_retailprice") <= F.col("b"), "mid").otherwise("large").alias("band"))
+    q = quantiles(parts, ["p_type"], "p_retailprice", {"a": 0.3333, "b": 0.6667})
+    return parts.join(q, "p_type").select("p_partkey", F.when(F.col("p_retailprice") <= F.col("a"), "small").when(F.col("p_retailprice") <= F.col("b"), "mid").otherwise("large").alias("band"))
 
 
 @query("""WITH s AS (SELECT s_nationkey, s_acctbal, COUNT(*) OVER w0 AS n, ROW_NUMBER() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal, s_suppkey) AS lo, ROW_NUMBER() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal DESC, s_suppkey DESC) AS hi FROM supplier WINDOW w0 AS (PARTITION BY s_nationkey))
  SELECT s_nationkey, ROUND(AVG(s_acctbal),4) AS all_mean, ROUND(AVG(s_acctbal) FILTER (hi>1),4) AS without_best, ROUND(AVG(s_acctbal) FILTER (lo>1),4) AS without_worst FROM s WHERE n>=2 GROUP BY 1""")
 def leave_one_out(spark, d):
-    by = W.partitionBy("s_nationkey")
-    s = table(spark, d, "supplier").withColumns({"n": F.count(F.lit(1)).over(by), "lo": F.row_number().over(by.orderBy("s_acctbal", "s_suppkey")), "hi": F.row_number().over(by.orderBy(F.desc("s_acctbal"), F.desc("s_suppkey")))}).filter("n >= 2")
-    mean = lambda c: r4(F.avg(F.when(c, F.col("s_acctbal"))))
-    return s.groupBy("s_nationkey").agg(mean(F.lit(True)).alias("all_mean"), mean(F.col("hi") > 1).alias("without_best"), mean(F.col("lo") > 1).alias("without_worst"))
+    """Means of each cohort, and without its best and its worst row: sums less an extreme, so no cohort is sorted."""
+    n, total = F.count(F.lit(1)), F.sum("s_acctbal")
+    mean = lambda less, k: r4((total - less) / (n - k))
+    return table(spark, d, "supplier").groupBy("s_nationkey").agg(
+        n.alias("n"), mean(F.lit(0.0), 0).alias("all_mean"), r4(F.try_divide(total - F.max("s_acctbal"), n - 1)).alias("without_best"), r4(F.try_divide(total - F.min("s_acctbal"), n - 1)).alias("without_worst")
+    ).filter("n >= 2").drop("n")
 
 
 @query("""SELECT event_type, user_id, event_id FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY value DESC, event_id) AS rn FROM events) WHERE rn<=2""")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fundloom.plans import general, general_sql, reference
+from fundloom.plans import general, general_sql, performance, reference  # noqa: F401  (performance registers its queries in reference)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
