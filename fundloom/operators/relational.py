@@ -87,3 +87,12 @@ def fold_index(df: DataFrame, by: list[str], time: str, rate: str) -> DataFrame:
     """Cumulative index of simple returns, product of (1 + rate), in order of ``time``."""
     w = W.partitionBy(*by).orderBy(time).rowsBetween(W.unboundedPreceding, 0)
     return df.withColumn("index", F.exp(F.sum(F.log1p(F.col(rate))).over(w)))
+
+
+def scorecard(results: DataFrame, by: list[str], status: str = "status") -> DataFrame:
+    """(*by, checks, passes, failures, skips, pass_rate_excluding_skips) of quality results."""
+    n = lambda s: F.count_if(F.col(status) == s)
+    return results.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("checks"), n("PASS").alias("passes"), n("FAIL").alias("failures"), n("SKIP").alias("skips"),
+        F.try_divide(n("PASS").cast("double"), n("PASS") + n("FAIL")).alias("pass_rate_excluding_skips"),
+    )

@@ -45,7 +45,7 @@ P1_OTHER_PARENTS = " UNION ALL ".join(
 )
 
 
-def _number(c: str) -> str:
+def number_sql(c: str) -> str:
     s = f"translate(regexp_replace({c}, '\\s+', '', 'g'), '−–‒', '---')"
     s = f"regexp_replace({s}, '(?i)(US\\$|C\\$|CA\\$|A\\$|AU\\$|[$€£¥]|USD|EUR|GBP|GBX|JPY|CAD|CHF|AUD|SEK|Sfr\\.?)|%', '', 'g')"
     s = f"regexp_replace({s}, '([0-9.])[xX]$', '\\1')"
@@ -63,7 +63,7 @@ def _p6() -> str:
     label = lambda c: f"COALESCE(lower(trim(regexp_replace({c}, '\\s+', ' ', 'g'))),'')"
     bare = lambda c: f"COALESCE(regexp_replace({c}, '\\s+', '', 'g'),'')"
     key = ", ".join(["document_id"] + [f"{label(k)} AS {k}" for k in _KEY] + ["source_occurrence"])
-    value = f"COALESCE('#'||CAST({_number('value_raw')} AS VARCHAR), {bare('value_raw')}) AS value_raw"
+    value = f"COALESCE('#'||CAST({number_sql('value_raw')} AS VARCHAR), {bare('value_raw')}) AS value_raw"
     side = lambda t: f"SELECT DISTINCT {key}, {', '.join(value if f == 'value_raw' else bare(f) + ' AS ' + f for f in _FIELDS)} FROM {t}"
     using = "document_id, " + ", ".join(_KEY) + ", source_occurrence"
     differs = " UNION ALL ".join(f"SELECT pair_id, 'differs', '{f}' FROM j WHERE a.document_id IS NOT NULL AND b.document_id IS NOT NULL AND a.{f}<>b.{f}".replace("a.document_id", "has_a").replace("b.document_id", "has_b").replace(f"a.{f}<>b.{f}", f"a_{f}<>b_{f}") for f in _FIELDS)
@@ -87,7 +87,7 @@ UNION ALL SELECT DISTINCT 'coverage', * FROM ({' UNION ALL '.join(cover)})"""
 
 def _p7() -> str:
     squeeze = lambda c: f"trim(regexp_replace({c}, '\\s+', ' ', 'g'))"
-    number = _number("value_raw")
+    number = number_sql("value_raw")
     plain = f"regexp_replace(regexp_replace(CAST({number} AS VARCHAR), '(\\.[0-9]*?)0+$', '\\1'), '\\.$', '')"
     dated = "CAST(CAST(try_strptime(trim(value_raw), ['%Y-%m-%d','%d %b %Y','%B %d, %Y','%b %d, %Y','%d %B %Y']) AS DATE) AS VARCHAR)"
     text = f"CASE WHEN NOT regexp_matches({squeeze('value_raw')}, '(?i)^(|-+|[—–−]+|n/?\\.?a\\.?|n\\.?/?m\\.?|not available|not meaningful|not applicable|nil|none)$') THEN {squeeze('value_raw')} END"
