@@ -166,11 +166,11 @@ def context_budget(spark, d):
     return evidence.within_budget(ranked, "user_id", "place", "size", 600).select("user_id", "event_id", "place", big(F.col("taken")).alias("taken"))
 
 
-@query("""SELECT COUNT(*) AS current_vectors, (SELECT COUNT(*) FROM (SELECT DISTINCT md5(p_name||p_size) AS h FROM part) t WHERE h NOT IN (SELECT md5(p_name||p_size) FROM part WHERE p_partkey%3=0)) AS to_embed FROM (SELECT p_partkey FROM part WHERE p_partkey%3=0)""")
+@query("""SELECT COUNT(*) AS current_vectors, (SELECT COUNT(*) FROM (SELECT DISTINCT md5(p_name||p_size) AS h FROM part) t WHERE h NOT IN (SELECT md5(p_name||p_size) FROM part WHERE p_size<=20)) AS to_embed FROM (SELECT p_partkey FROM part WHERE p_size<=20)""")
 def vector_cache(spark, d):
     """Vectors that still fit their text, and distinct texts that have none."""
-    texts = table(spark, d, "part").select("p_partkey", F.md5(F.concat("p_name", F.col("p_size").cast("string"))).alias("digest"))
-    cache = texts.filter("p_partkey % 3 = 0")
+    texts = table(spark, d, "part").select("p_partkey", "p_size", F.md5(F.concat("p_name", F.col("p_size").cast("string"))).alias("digest"))
+    cache = texts.filter("p_size <= 20")
     kept = evidence.current(cache, texts, "p_partkey", "digest").agg(F.count(F.lit(1)).alias("current_vectors"))
     return kept.crossJoin(evidence.stale(texts, cache).agg(F.count(F.lit(1)).alias("to_embed")))
 

@@ -174,11 +174,11 @@ def size_band_percentile(spark, d):
 
 @query("""WITH h AS (SELECT l_suppkey, p_type, p_brand, SUM(l_extendedprice) AS v FROM lineitem JOIN part ON p_partkey=l_partkey GROUP BY 1,2,3), c AS (SELECT l_suppkey, p_brand, SUM(v) AS v FROM h GROUP BY 1,2), r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_suppkey ORDER BY v DESC, p_brand) AS n FROM c),
  w AS (SELECT l_suppkey, SUM(v) AS value, SUM(CASE WHEN n<=3 THEN v ELSE 0 END) AS big FROM r GROUP BY 1), s AS (SELECT l_suppkey, MAX(v) AS sv FROM (SELECT l_suppkey, p_type, SUM(v) AS v FROM h GROUP BY 1,2) GROUP BY 1)
- SELECT l_suppkey, ROUND(value,2) AS value, ROUND(value-0.5*big,2) AS after_companies, ROUND(value-0.3*sv,2) AS after_sector FROM w JOIN s USING (l_suppkey)""")
+ SELECT l_suppkey, ROUND(value,2) AS value, ROUND(value-0.4*big,2) AS after_companies, ROUND(value-0.2*sv,2) AS after_sector FROM w JOIN s USING (l_suppkey)""")
 def nav_shock(spark, d):
     parts = table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_brand")
     lines = table(spark, d, "lineitem").groupBy("l_suppkey", "l_partkey").agg(F.sum("l_extendedprice").alias("v")).join(parts, "l_partkey")
-    s = scoring.value_shock(lines, "l_suppkey", "p_brand", "p_type", "v")
+    s = scoring.value_shock(lines, "l_suppkey", "p_brand", "p_type", "v", company_loss=0.4, sector_loss=0.2)
     return s.select("l_suppkey", *[F.round(c, 2).alias(c) for c in ("value", "after_companies", "after_sector")])
 
 

@@ -204,7 +204,7 @@ def chained_exposure(spark, d):
 PAIR_SQL = """a AS (SELECT l_orderkey k, l_partkey p, MAX(l_quantity) q FROM lineitem WHERE l_linenumber<=4 GROUP BY 1,2), b AS (SELECT l_orderkey k, l_partkey p, MAX(CASE WHEN l_partkey%7=0 THEN l_quantity+1 ELSE l_quantity END) q FROM lineitem WHERE l_linenumber>=2 GROUP BY 1,2)"""
 
 
-def _two_readings(spark, d):
+def two_readings(spark, d):
     lines = table(spark, d, "lineitem")
     moved = F.when(F.col("l_partkey") % 7 == 0, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
     a = lines.filter("l_linenumber <= 4").groupBy(F.col("l_orderkey").alias("k"), F.col("l_partkey").alias("p")).agg(F.max("l_quantity").alias("q"))
@@ -214,7 +214,7 @@ def _two_readings(spark, d):
 
 @query(f"""WITH {PAIR_SQL} SELECT CASE WHEN a.q IS NULL THEN 'B_ONLY' WHEN b.q IS NULL THEN 'A_ONLY' WHEN a.q IS DISTINCT FROM b.q THEN 'CONFLICT' ELSE 'MATCH' END AS status, COUNT(*) AS pairs FROM a FULL JOIN b ON a.k=b.k AND a.p=b.p GROUP BY 1""")
 def paired_readings(spark, d):
-    a, b = _two_readings(spark, d)
+    a, b = two_readings(spark, d)
     j = a.withColumnRenamed("q", "qa").join(b.withColumnRenamed("q", "qb"), ["k", "p"], "full_outer")
     status = F.when(F.col("qa").isNull(), "B_ONLY").when(F.col("qb").isNull(), "A_ONLY").when(~F.col("qa").eqNullSafe(F.col("qb")), "CONFLICT").otherwise("MATCH")
     return j.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("pairs"))
@@ -224,14 +224,14 @@ def paired_readings(spark, d):
  ua AS (SELECT k, MIN(p) p FROM ra GROUP BY 1 HAVING COUNT(*)=1), ub AS (SELECT k, MIN(p) p FROM rb GROUP BY 1 HAVING COUNT(*)=1) SELECT k, ua.p AS a_part, ub.p AS b_part FROM ua JOIN ub USING(k)""")
 def realigned_readings(spark, d):
     """What full keys leave unpaired, paired by the coarser key where that is unique on both sides."""
-    a, b = _two_readings(spark, d)
+    a, b = two_readings(spark, d)
     rest = lambda x, y: x.join(y, ["k", "p"], "left_anti")
     return relational.unique_match(rest(a, b).withColumnRenamed("p", "a_part"), rest(b, a).withColumnRenamed("p", "b_part"), ["k"], "a_part", "b_part")
 
 
 @query(f"""WITH {PAIR_SQL} SELECT side, COUNT(*) AS n FROM ((SELECT 'a' AS side, * FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)) UNION ALL (SELECT 'b', * FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a))) GROUP BY 1""")
 def multiset_parity(spark, d):
-    return relational.parity(*_two_readings(spark, d)).groupBy("side").agg(F.count(F.lit(1)).alias("n"))
+    return relational.parity(*two_readings(spark, d)).groupBy("side").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""WITH s AS (SELECT o_custkey, last_day(CAST(o_orderdate AS DATE)) AS d, SUM(o_totalprice) AS v FROM orders GROUP BY 1,2)

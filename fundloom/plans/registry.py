@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fundloom.plans import evidence, general, general_sql, performance, reference  # noqa: F401  (evidence and performance register their queries in reference)
+from fundloom.plans import evidence, general, general_sql, performance, reference, review  # noqa: F401  (evidence, performance and review register their queries in reference)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
