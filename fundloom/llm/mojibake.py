@@ -280,8 +280,9 @@ def _inner_capital(word: str) -> bool:
 def _swap_latin(text: str) -> tuple[str, int]:
     """The text swapped under the pair that leaves the fewest words with letters foreign to its language.
 
-    A pair must clear all words it changes, at least two, or one with a capital
-    inside; so a name from elsewhere stays.
+    A pair must clear the words it changes - most of them foreign before, none
+    but a few after -, at least two, or one with a capital inside; so a name
+    from elsewhere stays.
     """
     high = " ".join({w for w in text.split() if not w.isascii()})
     words = {w for w in _LETTERS.findall(high) if not w.isascii() and all(_script(c) == 1 for c in w)}
@@ -306,7 +307,8 @@ def _swap_to(text: str, words: set[str], own: set[str]) -> tuple[str, int]:
                 return None
 
         changed = {w: n for w in words if (n := swapped(w)) is not None and n != w}
-        if not changed or any(not n.isalpha() or foreign(n) or not foreign(w) for w, n in changed.items()):
+        wrong = sum(not all(c.isalpha() or c in _JOINERS for c in n) or foreign(n) for n in changed.values())
+        if not changed or wrong > 0.05 * len(changed) or sum(map(foreign, changed)) < 0.6 * len(changed):
             continue
         if len(changed) < 2 and not any(map(_inner_capital, changed)):
             continue
@@ -316,7 +318,7 @@ def _swap_to(text: str, words: set[str], own: set[str]) -> tuple[str, int]:
             nonlocal hits
             w = m.group()
             n = changed.get(w, w)  # noqa: B023
-            if n == w and w not in words and not w.isascii() and re.search("[A-Za-z]", w) and (new := swapped(w)) and new.isalpha() and not foreign(new):  # noqa: B023
+            if n == w and w not in words and not w.isascii() and re.search("[A-Za-z]", w) and (new := swapped(w)) and all(c.isalpha() or c in _JOINERS for c in new) and not foreign(new):  # noqa: B023
                 n = new  # a letter garbled to a sign inside a word
             hits += n != w
             return n
