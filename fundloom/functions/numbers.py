@@ -10,7 +10,7 @@ from fundloom.functions.text import BLANK
 #: Currency marks that may stand before or after a number.
 CURRENCY_MARK = r"(?i)(US\$|C\$|CA\$|A\$|AU\$|[$€£¥]|USD|EUR|GBP|GBX|JPY|CAD|CHF|AUD|SEK|Sfr\.?)"
 #: Signs before the number and after it that do not count: percent and multiple signs.
-SIGNS = CURRENCY_MARK + r"|%|percent\.?$|(?<=[\d.])x$"
+SIGNS = CURRENCY_MARK + r"|%|percent\.?$|(?<=[\d.)])x$"
 
 
 def printed_number(c: Column, decimals: str = "decimal(38,10)") -> Column:

@@ -48,7 +48,7 @@ P1_OTHER_PARENTS = " UNION ALL ".join(
 def number_sql(c: str) -> str:
     s = f"translate(regexp_replace({c}, '\\s+', '', 'g'), '−–‒', '---')"
     s = f"regexp_replace({s}, '(?i)(US\\$|C\\$|CA\\$|A\\$|AU\\$|[$€£¥]|USD|EUR|GBP|GBX|JPY|CAD|CHF|AUD|SEK|Sfr\\.?)|%', '', 'g')"
-    s = f"regexp_replace({s}, '([0-9.])[xX]$', '\\1')"
+    s = f"regexp_replace({s}, '([0-9.)])[xX]$', '\\1')"
     s = f"regexp_replace({s}, '^-?\\(([^()]*)\\)$', '-\\1')"
     return (
         f"(CASE WHEN regexp_matches({s}, '^-?([0-9]+|[0-9]{{1,3}}(,[0-9]{{3}})+)(\\.[0-9]*)?$') THEN TRY_CAST(replace({s}, ',', '') AS DECIMAL(38,10)) END)"

@@ -46,7 +46,7 @@ def test_widen(spark):
 
 
 def test_printed_numbers(spark):
-    texts = {"1,234.50": "1234.5", "($ 959.30)": "-959.3", "−609.40": "-609.4", "(9.5)%": "-9.5", "0.37X": "0.37", "2.97 x": "2.97", "€1": "1", "-": None, "": None,
+    texts = {"1,234.50": "1234.5", "($ 959.30)": "-959.3", "−609.40": "-609.4", "(9.5)%": "-9.5", "0.37X": "0.37", "2.97 x": "2.97", "(0.03)x": "-0.03", "(0.05) X": "-0.05", "€1": "1", "-": None, "": None,
              "n.m.": None, "12,34": None, "2008-12-28": None, "1e5": None, "007": "7", "100": "100", "0.000": "0", "x": None, "5-": "-5"}
     df = spark.createDataFrame([(k,) for k in texts] + [(None,)], "t string")
     got = {r["t"]: r["n"] for r in df.select("t", plain_text(printed_number(F.col("t"))).alias("n")).collect()}
