@@ -45,3 +45,24 @@ def quantiles(df: DataFrame, by: list[str], value: str, probabilities: dict[str,
         weight = F.when(F.col("__at") == low, 1 - part).when((F.col("__at") == low + 1) & (part > 0), part)
         columns.append(F.sum(F.col("__v") * weight).alias(name))
     return ranked.filter(wanted).groupBy(*by).agg(F.max("__n").alias("n"), *columns)
+
+
+def standing(df: DataFrame, by: list[str], value: str) -> DataFrame:
+    """(*by, value, n, before, total): per distinct value of a group its rows, those with a smaller value and all of the group.
+
+    Rows are counted per value before anything is sorted; the counts are summed
+    along range partitions, so neither a large group nor a frequent value gathers in one task.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
+    laid = written(counts.repartitionByRange(parts, *by, value).sortWithinPartitions(*by, value).withColumn("__part", F.spark_partition_id()))
+    group = W.partitionBy(*by)
+    sums = laid.groupBy(*by, "__part").agg(F.sum("n").alias("__n"))  # one row per group and partition it lies in
+    earlier = sums.select(
+        *by, "__part", F.coalesce(F.sum("__n").over(group.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__earlier"), F.sum("__n").over(group).alias("__total")
+    )
+    own = laid.withColumn("__own", F.coalesce(F.sum("n").over(W.partitionBy(*by, "__part").orderBy(value).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in [*by, "__part"]]
+    return own.alias("l").join(earlier.alias("r"), same).select(
+        *[F.col(f"l.{c}") for c in [*by, value, "n"]], (F.col("r.__earlier") + F.col("l.__own")).alias("before"), F.col("r.__total").alias("total")
+    )

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from fundloom.operators.order_statistics import standing
+
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key in ``order``; ties are settled by the order's last columns."""
@@ -72,15 +74,17 @@ def lookup(matrix: dict[str, str], value: Column, star: bool = True) -> Column:
 def midpoint_percentile(df: DataFrame, cohort: list[str], owner: str, score: str) -> DataFrame:
     """100 (below + equal / 2) / n against the cohort's rows of other owners.
 
-    Counting below and equal needs no self-join: ranks within the cohort less
-    ranks within the owner's own rows give both counts. Scores are ranked in
-    two sorts; a row of a cohort without other owners gets null.
+    Counting below and equal needs no self-join: the counts of the cohort less
+    those of the owner's own rows. Both are sums over distinct scores, so no
+    cohort is sorted in one task; a row of a cohort without other owners gets null.
     """
-    all_, own = W.partitionBy(*cohort), W.partitionBy(*cohort, owner)
-    below = F.rank().over(all_.orderBy(score)) - F.rank().over(own.orderBy(score))
-    equal = F.count(F.lit(1)).over(W.partitionBy(*cohort, score)) - F.count(F.lit(1)).over(W.partitionBy(*cohort, owner, score))
-    peers = F.count(F.lit(1)).over(all_) - F.count(F.lit(1)).over(own)
-    return df.filter(F.col(score).isNotNull()).withColumns({"peers": peers, "percentile": F.when(peers > 0, 100.0 * (below + 0.5 * equal) / peers)})
+    rows = df.filter(F.col(score).isNotNull())
+    every, own = standing(rows, cohort, score), standing(rows, [*cohort, owner], score)
+    near = lambda by, side: [F.col(f"x.{k}").eqNullSafe(F.col(f"{side}.{k}")) for k in [*by, score]]
+    joined = rows.alias("x").join(every.alias("e"), near(cohort, "e")).join(own.alias("o"), near([*cohort, owner], "o"))
+    of = lambda c: F.col(f"e.{c}") - F.col(f"o.{c}")
+    peers = of("total")
+    return joined.select("x.*", peers.alias("peers"), F.when(peers > 0, 100.0 * (of("before") + 0.5 * of("n")) / peers).alias("percentile"))
 
 
 def fold_index(df: DataFrame, by: list[str], time: str, rate: str) -> DataFrame:

@@ -102,3 +102,17 @@ def test_order_statistics(spark):
     assert "none" not in got
     places = order_statistics.numbered(df, ["g"], ["v"], total="n").collect()
     assert all(sorted(r["position"] for r in places if r["g"] == g) == list(range(1, 1 + sum(k == g for k, _ in rows))) for g in ("a", None, "one"))
+
+
+def test_percentiles_among_other_owners(spark):
+    from fundloom.operators.relational import midpoint_percentile
+
+    rng = np.random.default_rng(6)
+    rows = [(i, ["a", None][i % 2], ["m", "n", None][int(rng.integers(0, 3))], None if i % 13 == 0 else float(rng.integers(0, 9))) for i in range(200)] + [(900, "alone", "m", 1.0)]
+    df = spark.createDataFrame(rows, "id int, g string, o string, v double")
+    got = {r["id"]: (r["peers"], r["percentile"]) for r in midpoint_percentile(df, ["g"], "o", "v").collect()}
+    assert set(got) == {i for i, _, _, v in rows if v is not None} and got[900] == (0, None)
+    for i, g, o, v in rows:
+        if v is not None and i != 900:
+            peers = [x for _, h, q, x in rows if h == g and q != o and x is not None]
+            assert got[i][0] == len(peers) and got[i][1] == pytest.approx(100 * (sum(x < v for x in peers) + 0.5 * sum(x == v for x in peers)) / len(peers))
