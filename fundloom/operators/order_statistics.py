@@ -66,3 +66,13 @@ def standing(df: DataFrame, by: list[str], value: str) -> DataFrame:
     return own.alias("l").join(earlier.alias("r"), same).select(
         *[F.col(f"l.{c}") for c in [*by, value, "n"]], (F.col("r.__earlier") + F.col("l.__own")).alias("before"), F.col("r.__total").alias("total")
     )
+
+
+def ranks(df: DataFrame, by: list[str], score: str) -> DataFrame:
+    """``df`` with (competition, dense): the rank of each row in its group by descending score; null scores are left out."""
+    rows = df.filter(F.col(score).isNotNull())
+    place = standing(rows, by, score)
+    distinct = standing(rows.select(*by, score).distinct(), by, score).select(*by, score, (F.col("total") - F.col("before")).alias("dense"))
+    near = lambda side: [F.col(f"x.{k}").eqNullSafe(F.col(f"{side}.{k}")) for k in [*by, score]]
+    joined = rows.alias("x").join(place.alias("p"), near("p")).join(distinct.alias("d"), near("d"))
+    return joined.select("x.*", (F.col("p.total") - F.col("p.before") - F.col("p.n") + 1).alias("competition"), F.col("d.dense"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from fundloom.functions import finance, ids, labels
 from fundloom.functions.numbers import printed_number
 from fundloom.operators import asof, performance, relational, retrieval
-from fundloom.operators.order_statistics import numbered, quantiles
+from fundloom.operators.order_statistics import numbered, quantiles, ranks
 from fundloom.sources import files
 from fundloom.sources.tables import table
 from fundloom.streaming import windows
@@ -387,8 +387,9 @@ def latest_row(spark, d):
 
 @query("""SELECT s_suppkey, DENSE_RANK() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal DESC) AS dense, RANK() OVER (PARTITION BY s_nationkey ORDER BY ROUND(s_acctbal,0) DESC) AS competition FROM supplier""")
 def rank_variants(spark, d):
-    w = W.partitionBy("s_nationkey")
-    return table(spark, d, "supplier").select("s_suppkey", big(F.dense_rank().over(w.orderBy(F.desc("s_acctbal")))).alias("dense"), big(F.rank().over(w.orderBy(F.desc(F.round("s_acctbal", 0))))).alias("competition"))
+    s = table(spark, d, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal", F.round("s_acctbal", 0).alias("whole"))
+    dense = ranks(s, ["s_nationkey"], "s_acctbal").drop("competition")
+    return ranks(dense.withColumnRenamed("dense", "own"), ["s_nationkey"], "whole").select("s_suppkey", F.col("own").alias("dense"), "competition")
 
 
 @query(f"""WITH {FLOWS_SQL}, b AS (SELECT position, d, SUM(amount) OVER (PARTITION BY position ORDER BY d) AS balance FROM flows) SELECT position, d, ROUND(balance,2) AS balance, balance<0 AS overdrawn FROM b""")

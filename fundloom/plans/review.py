@@ -182,9 +182,11 @@ def binding_wins(spark, d):
 @query("""SELECT s_suppkey, RANK() OVER (PARTITION BY s_nationkey ORDER BY ROUND(s_acctbal/7,12) DESC) AS place, ROW_NUMBER() OVER (PARTITION BY s_nationkey ORDER BY ROUND(s_acctbal/7,12) DESC, s_suppkey) AS shown FROM supplier""")
 def tolerant_rank(spark, d):
     """Competition ranks of scores equal to 1e-12, shown in order of id."""
-    score = F.desc(F.round(F.col("s_acctbal") / 7, 12))
-    w = W.partitionBy("s_nationkey")
-    return table(spark, d, "supplier").select("s_suppkey", big(F.rank().over(w.orderBy(score))).alias("place"), big(F.row_number().over(w.orderBy(score, "s_suppkey"))).alias("shown"))
+    from fundloom.operators.order_statistics import numbered, ranks
+
+    s = table(spark, d, "supplier").select("s_suppkey", "s_nationkey", F.round(F.col("s_acctbal") / 7, 12).alias("score"))
+    placed = ranks(s, ["s_nationkey"], "score").withColumn("least", -F.col("score"))
+    return numbered(placed, ["s_nationkey"], ["least", "s_suppkey"], "shown").select("s_suppkey", F.col("competition").alias("place"), "shown")
 
 
 @query("""WITH f AS (SELECT p_partkey, p_brand, p_size AS vintage, p_retailprice FROM part) SELECT p_partkey, LAG(p_partkey) OVER w AS predecessor, COUNT(*) OVER (PARTITION BY p_brand, vintage)>1 AS ambiguous, ROUND(p_retailprice/LAG(p_retailprice) OVER w,6) AS step_up FROM f WINDOW w AS (PARTITION BY p_brand ORDER BY vintage, p_partkey)""")
